@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid
+from tidemark.llm import langid, minhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +25,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.jaccard_classes(table(spark, sf_dir, "documents"), "doc_id", "text", n=5, threshold=0.8)
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_language_id": op5_language_id}
+    return {"op5_language_id": op5_language_id, "op8_jaccard_join": op8_jaccard_join}
 
 
 def oracle_sql() -> dict[str, str]:
