@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, minhash
+from tidemark.llm import decontam, langid, minhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def language_model(docs: DataFrame) -> langid.LanguageModel:
     return langid.train(docs.where(~langid.held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()), "text", "lang", "doc_id")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text", n=3, similarity=0.8)
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "similarity", "first_word", "n_words")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs, language_model(docs), keep=["doc_id"])
@@ -31,7 +36,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_language_id": op5_language_id, "op8_jaccard_join": op8_jaccard_join}
+    return {"op4_decontaminate": op4_decontaminate, "op5_language_id": op5_language_id, "op8_jaccard_join": op8_jaccard_join}
 
 
 def oracle_sql() -> dict[str, str]:
