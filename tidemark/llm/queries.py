@@ -4,16 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, minhash
+from tidemark.llm import decontam, hilbert, langid, minhash, mixing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SHARDS = 40
+DIMENSIONS = [hilbert.Dimension("lang"), hilbert.Dimension("source"), hilbert.Dimension("size", "size")]
+MIX_WEIGHTS = {"good": 0.90, "low": 0.08, "toxic": 0.02}
+MIX_BUDGET = 1.25  # tokens to draw, as a multiple of those at hand
+
+
+def sharded(docs: DataFrame) -> DataFrame:
+    """Documents with size, shard and slot: sorted by language, source and size along the curve, cut into runs of equal counts."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16
+    return hilbert.order_and_cut(docs.withColumn("size", size), "doc_id", DIMENSIONS, SHARDS)
+
+
+def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    return sharded(docs).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def domain_label() -> Column:
+    """Domain of a row of labels; null where neither label says."""
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "good")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    mixed = mixing.mix(docs, "doc_id", "text", labels, "doc_id", domain_label(), MIX_WEIGHTS)
+    shares = [F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(sorted(MIX_WEIGHTS))]
+    return mixed.select("doc_id", "tokens", *shares, "rate")
+
+
 def language_model(docs: DataFrame) -> langid.LanguageModel:
     """Learn from the rows that are not held out."""
     return langid.train(docs.where(~langid.held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()), "text", "lang", "doc_id")
@@ -35,8 +64,15 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "class_id", "n_links")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_decontaminate": op4_decontaminate, "op5_language_id": op5_language_id, "op8_jaccard_join": op8_jaccard_join}
+    named = [op2_hilbert_shards, op4_decontaminate, op5_language_id, op8_jaccard_join, op10_mixing, pipeline]
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
