@@ -7,13 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, hilbert, langid, minhash, mixing
+from tidemark.llm import ann, chat, decontam, hilbert, langid, minhash, mixing, toxicity, warc
+from tidemark.llm.common import fresh_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    segments = chat.format_turns(turns.unionByName(hard), "conv_id", "turn", "role", "text")
+    return chat.read_back(segments).withColumnRenamed("conv", "conv_id")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), "page_id", "url", "html", path)
+    found = warc.read_records(spark, path)
+    return found.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    teaching = table(spark, sf_dir, "labels").where(~langid.held_out(F.col("doc_id")))
+    texts, labels = toxicity.sample(docs, "doc_id", "text", teaching, "doc_id", "toxic")
+    scored = toxicity.score(docs, "doc_id", "text", toxicity.train(texts, labels))
+    return scored.select(F.col("id").alias("doc_id"), langid.held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 SHARDS = 40
 DIMENSIONS = [hilbert.Dimension("lang"), hilbert.Dimension("source"), hilbert.Dimension("size", "size")]
 MIX_WEIGHTS = {"good": 0.90, "low": 0.08, "toxic": 0.02}
@@ -71,7 +101,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op2_hilbert_shards, op4_decontaminate, op5_language_id, op8_jaccard_join, op10_mixing, pipeline]
+    named = [op1_chat_format, op2_hilbert_shards, op3_warc, op4_decontaminate, op5_language_id, op6_nearest, op7_toxicity, op8_jaccard_join, op10_mixing, pipeline]
     return {f.__name__: f for f in named}
 
 
