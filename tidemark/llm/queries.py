@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, chat, decontam, hilbert, langid, minhash, mixing, toxicity, warc
+from tidemark.llm import ann, chat, decontam, hilbert, langid, linededup, minhash, mixing, toxicity, warc
 from tidemark.llm.common import fresh_path
 
 
@@ -94,6 +94,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "class_id", "n_links")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.remove_repeated_runs(docs, "doc_id", "text", min_words=25)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,7 +106,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_chat_format, op2_hilbert_shards, op3_warc, op4_decontaminate, op5_language_id, op6_nearest, op7_toxicity, op8_jaccard_join, op10_mixing, pipeline]
+    named = [op1_chat_format, op2_hilbert_shards, op3_warc, op4_decontaminate, op5_language_id, op6_nearest, op7_toxicity, op8_jaccard_join, op9_line_dedup, op10_mixing, pipeline]
     return {f.__name__: f for f in named}
 
 
