@@ -2,9 +2,10 @@
 
 A naive Bayes classifier over hashed words is fitted on a bounded sample of the labelled table; it gives every document a posterior
 over domains. Rates x >= 0 minimise the squared distance between expected domain tokens, sum of x * tokens * posterior, and the
-targets, by projected gradient: residuals are whitened by the Gram matrix of the domains, which makes 1 a safe step, and each step
-x <- max(0, x - posterior . multipliers) needs one aggregate of as many numbers as there are domains. A rate is a fold of the
-multipliers so far, so no step rewrites the table. copies() turns rates into whole copies, by a hash of the key.
+targets, by projected gradient: residuals are whitened by the Gram matrix of the domains over the documents whose rate is not 0 (over
+all documents, which makes 1 a safe step, after a step that came no closer), and each step x <- max(0, x - posterior . multipliers)
+needs one aggregate of a few numbers. A rate is a fold of the multipliers so far, so no step rewrites the table. copies() turns
+rates into whole copies, by a hash of the key.
 
 Defined cases: null, empty or wordless texts have no tokens, the prior as posterior, and a rate like others of that posterior.
 Null keys and repeated rows are documents like any other. Labels that are null, name no document or contradict each other each
@@ -100,27 +101,27 @@ def fit_rates(scored: DataFrame, domains: list[str], weights: dict[str, float],
     Stops when every total is within tolerance of its target, relative to all tokens, or no longer moves.
     """
     k = len(domains)
-    t = F.col("tokens").cast("double")
-    parts = [F.sum("tokens").alias("all")] + [F.sum(t * F.col("p")[i] * F.col("p")[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]
-    first = scored.agg(*parts).first()
-    total = float(first["all"] or 0)
-    if not total:
-        return [], [0.0] * k, [0.0] * k
-    gram = [[first[f"g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]
-    for i in range(k):
-        gram[i][i] += 1e-9 * total
-    targets = [budget * total * weights[d] / sum(weights.values()) for d in domains]
+    t, p = F.col("tokens").cast("double"), [F.col("p")[i] for i in range(k)]
     steps: list[list[float]] = []
-    before = None
+    before, whole = None, None
     while True:
-        x = rate(steps, k)
-        sums = scored.withColumn("x", x).agg(*(F.sum(t * F.col("x") * F.col("p")[i]).alias(f"a{i}") for i in range(k))).first()
+        # one aggregate: totals by domain, and the Gram matrix of the documents that can still move
+        free = F.when(F.col("x") > 0, t).otherwise(0.0)
+        grams = [F.sum(free * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]
+        sums = scored.withColumn("x", rate(steps, k)).agg(F.sum("tokens").alias("all"), *(F.sum(t * F.col("x") * p[i]).alias(f"a{i}") for i in range(k)), *grams).first()
+        total = float(sums["all"] or 0)
+        if not total:
+            return [], [0.0] * k, [0.0] * k
+        targets = [budget * total * weights[d] / sum(weights.values()) for d in domains]
         reached = [sums[f"a{i}"] for i in range(k)]
         gap = [a - b for a, b in zip(reached, targets, strict=True)]
         still = before is not None and max(abs(a - b) for a, b in zip(gap, before, strict=True)) < 0.1 * tolerance * total
         if max(map(abs, gap)) <= tolerance * total or still or len(steps) == max_steps:
             return steps, targets, reached
-        steps.append(solve_small(gram, gap))
+        gram = [[sums[f"g{min(i, j)}_{max(i, j)}"] + (1e-9 * total if i == j else 0.0) for j in range(k)] for i in range(k)]
+        whole = whole or gram  # every rate starts above 0
+        closer = before is None or max(map(abs, gap)) < max(map(abs, before))
+        steps.append(solve_small(gram if closer else whole, gap))
         before = gap
 
 
