@@ -2,10 +2,399 @@
 
 from __future__ import annotations
 
+import datetime
+import tempfile
+import uuid
+from collections.abc import Callable
+from pathlib import Path
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions.inference import infer_types
+from tidemark.functions.money import round_half_up
+from tidemark.operators import cdc, quality, reshape
+from tidemark.operators.asof import asof_join
+from tidemark.plans import apply, runner
+from tidemark.sources.envelope import parse_envelope
+from tidemark.sources.lake import LakeTable
+
+Query = Callable[[SparkSession, str], DataFrame]
+MODELS = Path(__file__).parent / "plans" / "models"
+AS_OF = datetime.date(2000, 6, 15)
+RUN_TS = "timestamp'2024-02-01 00:00:00'"
+# fixed values: currency, base, step and modulus of the made-up rates, in thousandths
+FX = [("EUR", 900, 7, 100), ("GBP", 780, 11, 90), ("JPY", 110_000, 13, 9000), ("IDR", 15_000_000, 17, 900_000)]
+CURRENCY = "CASE o_orderkey % 5 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'GBP' WHEN 3 THEN 'JPY' ELSE 'IDR' END"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new path in the folder that driver and executors share."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/tidemark/{tag}-{uuid.uuid4().hex}"
+
+
+# --- order lines in USD -------------------------------------------------------------------------------------------------------
+
+
+def fx_rates(spark: SparkSession) -> DataFrame:
+    """Weekday rates, and 1 for USD on every day that has a rate."""
+    days = spark.sql("SELECT explode(sequence(date'1994-12-26', date'2001-12-31', interval 1 day)) AS rate_date").where("unix_date(rate_date) % 7 NOT IN (2, 3)")
+    kinds = F.array(*(F.struct(F.lit(c).alias("currency"), F.lit(b).alias("b"), F.lit(k).alias("k"), F.lit(m).alias("m")) for c, b, k, m in FX))
+    rates = days.withColumn("c", F.explode(kinds)).selectExpr("rate_date", "c.currency", "CAST(c.b + (CAST(unix_date(rate_date) AS BIGINT) * c.k) % c.m AS DOUBLE) / 1000 AS rate")
+    return rates.union(rates.selectExpr("rate_date", "'USD'", "CAST(1 AS DOUBLE)").distinct())
+
+
+def fct_order_items(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders").where("o_orderstatus <> 'P'").selectExpr("o_orderkey", "o_custkey", "CAST(o_orderdate AS DATE) AS order_date", f"{CURRENCY} AS currency")
+    lines = table(spark, d, "lineitem").selectExpr("l_orderkey", "l_partkey", "l_linenumber", "CAST(l_quantity AS BIGINT) AS quantity", "CAST(l_extendedprice AS DECIMAL(14,2)) AS amount")
+    parts = table(spark, d, "part").selectExpr("p_partkey", "p_type AS category")
+    customers = table(spark, d, "customer").selectExpr("c_custkey", "c_mktsegment AS segment")
+    priced = asof_join(orders, fx_rates(spark).withColumnRenamed("currency", "fx_currency"), "order_date", "rate_date", [("currency", "fx_currency")])
+    joined = lines.join(priced, lines["l_orderkey"] == priced["o_orderkey"]).join(parts, F.col("l_partkey") == F.col("p_partkey")).join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+    usd = round_half_up(F.col("amount").cast("double") / F.col("rate")).cast("decimal(14,2)")
+    return joined.select(
+        F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_number"), "category", "segment", "currency", "order_date",
+        F.trunc("order_date", "month").alias("order_month"), "quantity", "amount", "rate", usd.alias("amount_usd"),
+    )
+
+
+_FX_VALUES = ", ".join(f"('{c}', {b}, {k}, {m})" for c, b, k, m in FX)
+FCT_CTE = f"""
+days AS (SELECT CAST(d AS DATE) AS rate_date FROM generate_series(DATE '1994-12-26', DATE '2001-12-31', INTERVAL 1 DAY) t(d)),
+rates AS (SELECT rate_date, currency, CAST(b + (date_diff('day', DATE '1970-01-01', rate_date) * k) % m AS DOUBLE) / 1000 AS rate
+  FROM days CROSS JOIN (VALUES {_FX_VALUES}) c(currency, b, k, m) WHERE date_diff('day', DATE '1970-01-01', rate_date) % 7 NOT IN (2, 3)),
+fx AS (SELECT * FROM rates UNION ALL SELECT DISTINCT rate_date, 'USD', CAST(1 AS DOUBLE) FROM rates),
+o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date, {CURRENCY} AS currency FROM orders WHERE o_orderstatus <> 'P'),
+priced AS (SELECT o.*, fx.rate FROM o ASOF LEFT JOIN fx ON o.currency = fx.currency AND o.order_date >= fx.rate_date),
+fct AS (SELECT l_orderkey AS order_key, l_linenumber AS line_number, p_type AS category, c_mktsegment AS segment, currency, order_date,
+  CAST(date_trunc('month', order_date) AS DATE) AS order_month, CAST(l_quantity AS BIGINT) AS quantity, CAST(l_extendedprice AS DECIMAL(14,2)) AS amount, rate,
+  CAST(sign(x) * floor(abs(x) * 100 + 0.5) / 100 AS DECIMAL(14,2)) AS amount_usd
+  FROM (SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS DOUBLE) / rate AS x FROM lineitem JOIN priced ON l_orderkey = o_orderkey)
+  JOIN part ON l_partkey = p_partkey LEFT JOIN customer ON o_custkey = c_custkey)"""
+
+
+def sales_targets(spark: SparkSession, d: str) -> DataFrame:
+    """A target for each category and month, by formula."""
+    kinds = table(spark, d, "part").select(F.col("p_type").alias("category")).distinct()
+    months = F.explode(F.expr("sequence(date'1995-01-01', date'2001-08-01', interval 1 month)"))
+    return kinds.withColumn("month_start", months).withColumn("target_usd", F.expr("CAST(20000 + (months_between(month_start, date'1995-01-01') * 7919 + length(category) * 104729) % 60000 AS DECIMAL(18,2))"))
+
+
+TARGETS_CTE = """
+targets AS (SELECT category, CAST(m AS DATE) AS month_start, CAST(20000 + (date_diff('month', DATE '1995-01-01', CAST(m AS DATE)) * 7919 + length(category) * 104729) % 60000 AS DECIMAL(18,2)) AS target_usd
+  FROM (SELECT DISTINCT p_type AS category FROM part) CROSS JOIN generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 MONTH) t(m))"""
+
+
+def _mart_views(spark: SparkSession, d: str) -> str:
+    fct_order_items(spark, d).createOrReplaceTempView("gold__fct_order_items")
+    sales_targets(spark, d).createOrReplaceTempView("silver__targets_sales")
+    return runner.localise((MODELS / "mart_sales_vs_target.sql").read_text())
+
+
+def mart_sales_vs_target(spark: SparkSession, d: str) -> DataFrame:
+    return spark.sql(_mart_views(spark, d), args={"as_of": AS_OF})
+
+
+def _mart_sql() -> str:
+    sql = (MODELS / "mart_sales_vs_target.sql").read_text()
+    body = "\n".join(x for x in sql.splitlines() if not x.startswith("--"))
+    body = body.replace("gold.fct_order_items", "fct").replace("silver.targets_sales", "targets").replace(":as_of", f"DATE '{AS_OF}'").replace("sum(quantity) AS units", "CAST(sum(quantity) AS BIGINT) AS units")
+    body = body.replace("day(last_day(order_month))", "CAST(day(last_day(order_month)) AS INTEGER)").replace(f"day(DATE '{AS_OF}')", f"CAST(day(DATE '{AS_OF}') AS INTEGER)")
+    return f"WITH {FCT_CTE},{TARGETS_CTE}, mart AS ({body})"
+
+
+def _report(sql: str) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        mart_sales_vs_target(spark, d).createOrReplaceTempView("mart")
+        return spark.sql(sql.replace(" fct ", " gold__fct_order_items "))
+
+    return run
+
+
+REPORTS = {
+    "rpt_month_totals": "SELECT order_month, CAST(sum(revenue_usd) AS DECIMAL(20,2)) AS revenue_usd, CAST(sum(target_usd) AS DECIMAL(20,2)) AS target_usd, min(period_status) AS period_status FROM mart GROUP BY order_month",
+    "rpt_category_lines": "SELECT order_month, category, revenue_usd, attainment, status FROM mart ORDER BY order_month, attainment DESC",
+    "rpt_shortfalls": "SELECT category, projected_usd, target_usd, CAST(target_usd - projected_usd AS DECIMAL(20,2)) AS short_usd FROM mart WHERE order_month = (SELECT max(order_month) FROM mart) AND status IN ('missed', 'behind', 'at_risk')",
+    "rpt_all_months": "SELECT category, status, CAST(count(*) AS BIGINT) AS months FROM mart WHERE status IN ('hit', 'missed') GROUP BY category, status HAVING count(*) >= (SELECT count(DISTINCT order_month) / 2 FROM mart)",
+    "rpt_fx_share": "SELECT currency, CAST(sum(amount_usd) AS DECIMAL(20,2)) AS revenue_usd, floor(CAST(sum(amount_usd) AS DOUBLE) / (SELECT CAST(sum(amount_usd) AS DOUBLE) FROM fct ) * 10000 + 0.5) / 10000 AS share FROM fct WHERE currency <> 'USD' GROUP BY currency",
+}
+
+# --- as-of joins over events --------------------------------------------------------------------------------------------------
+
+
+def _asof_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    events = table(spark, d, "events")
+    buys = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    clicks = events.where("event_type = 'click'").groupBy(F.col("user_id").alias("click_user"), F.col("ts").alias("click_ts")).agg(F.max("event_id").alias("click_id"))
+    return buys, clicks
+
+
+def _asof(how: str, small_rows: int) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        buys, clicks = _asof_sides(spark, d)
+        return asof_join(buys, clicks, "ts", "click_ts", [("user_id", "click_user")], how, small_rows, "day").select("event_id", "user_id", "click_id")
+
+    return run
+
+
+def _asof_sql(how: str) -> str:
+    return f"SELECT b.event_id, b.user_id, c.click_id FROM (SELECT * FROM events WHERE event_type = 'purchase') b ASOF {how} JOIN (SELECT user_id, ts, max(event_id) AS click_id FROM events WHERE event_type = 'click' GROUP BY ALL) c ON b.user_id = c.user_id AND b.ts >= c.ts"
+
+
+# --- change capture over events -----------------------------------------------------------------------------------------------
+
+USERS = cdc.TableSpec("users", ("user_id",), {"user_id": "bigint", "event_type": "string", "k": "int"}, history=True)
+
+
+def messages(spark: SparkSession, d: str) -> DataFrame:
+    """events as Kafka rows of change envelopes: errors delete, signups create, the rest update; one tombstone for each delete's key
+    is left to the parser, as is a plumbing table."""
+    sql = """
+      SELECT 'shop.public.users' AS topic, CAST(user_id % 3 AS INT) AS partition, event_id AS offset, concat('{"user_id":', user_id, '}') AS key,
+        concat('{"before":', if(op = 'd', row, 'null'), ',"after":', if(op = 'd', 'null', row), ',"source":{"table":"', if(event_id % 97 = 0, 'debezium_signal', 'users'), '","lsn":', event_id * 8, ',"txId":', event_id,
+          ',"ts_ms":', ms, ',"snapshot":"', if(op = 'c', 'first', 'false'), '"},"op":"', op, '","ts_ms":', ms + 5, '}') AS value
+      FROM (SELECT *, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op, unix_millis(CAST(ts AS TIMESTAMP)) AS ms,
+        concat('{"user_id":', user_id, ',"event_type":"', event_type, '","k":', get_json_object(props, '$.k'), '}') AS row FROM tidemark_events)"""
+    table(spark, d, "events").createOrReplaceTempView("tidemark_events")
+    return spark.sql(sql)
+
+
+def bronze(spark: SparkSession, d: str) -> DataFrame:
+    return parse_envelope(messages(spark, d), F.expr(RUN_TS))
+
+
+def typed(spark: SparkSession, d: str) -> DataFrame:
+    return cdc.typed_events(bronze(spark, d), USERS, F.expr(RUN_TS))
+
+
+BRONZE_CTE = """b AS (SELECT *, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op, epoch_us(ts) // 1000 AS ms,
+  CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE event_id % 97 <> 0)"""
+VERSIONS_CTE = f"{BRONZE_CTE}, v AS (SELECT * FROM (SELECT user_id, event_type, k, ms AS valid_from, lead(ms) OVER (PARTITION BY user_id ORDER BY event_id) AS valid_to, event_id AS seq, op FROM b) WHERE op <> 'd')"
+
+
+def debezium_parse(spark: SparkSession, d: str) -> DataFrame:
+    return bronze(spark, d).select("op", "record_key", "before", "after", "source_table", "source_lsn", "source_txid", "source_ts_ms", "is_snapshot", "event_ts_ms", "kafka_partition", "kafka_offset")
+
+
+_ROW = """concat('{"user_id":', user_id, ',"event_type":"', event_type, '","k":', k, '}')"""
+DEBEZIUM_SQL = f"""WITH {BRONZE_CTE} SELECT op, concat('{{"user_id":', user_id, '}}') AS record_key, CASE WHEN op = 'd' THEN {_ROW} END AS before, CASE WHEN op <> 'd' THEN {_ROW} END AS after,
+  'users' AS source_table, event_id * 8 AS source_lsn, event_id AS source_txid, ms AS source_ts_ms, op = 'c' AS is_snapshot, ms + 5 AS event_ts_ms, CAST(user_id % 3 AS INTEGER) AS kafka_partition, event_id AS kafka_offset FROM b"""
+
+
+def _current(state: DataFrame) -> DataFrame:
+    return state.select("user_id", "event_type", "k", F.col("_is_deleted").alias("is_deleted"), F.col("_op").alias("op"), F.col("_seq").alias("seq"), F.unix_millis("_source_ts").alias("source_ms"))
+
+
+def _history(state: DataFrame) -> DataFrame:
+    return state.select("user_id", "event_type", "k", F.unix_millis("_valid_from").alias("valid_from"), F.unix_millis("_valid_to").alias("valid_to"), F.col("_is_current").alias("is_current"), F.col("_seq").alias("seq"), F.col("_op").alias("op"))
+
+
+def cdc_current_state(spark: SparkSession, d: str) -> DataFrame:
+    return _current(cdc.latest_per_key(typed(spark, d), ["user_id"], ["_seq"]))
+
+
+def cdc_history_scd2(spark: SparkSession, d: str) -> DataFrame:
+    return _history(cdc.versions(typed(spark, d), USERS))
+
+
+def cdc_close_rows(spark: SparkSession, d: str) -> DataFrame:
+    return cdc.close_rows(typed(spark, d), USERS).select("user_id", F.unix_millis("_valid_to").alias("valid_to"), F.col("_seq").alias("seq"))
+
+
+def scd2_merge_source(spark: SparkSession, d: str) -> DataFrame:
+    return cdc.merge_source(typed(spark, d), USERS).select("user_id", "event_type", "k", F.unix_millis("_valid_to").alias("valid_to"), F.col("_seq").alias("seq"), F.col("_action").alias("action"))
+
+
+def _batches(spark: SparkSession, d: str, history: bool) -> DataFrame:
+    """Three batches by offset, the second twice and the third overlapping it, applied to a table."""
+    raw = bronze(spark, d)
+    lake = LakeTable(spark, scratch(spark, "history" if history else "current"))
+    step = apply.apply_history if history else apply.apply_current
+    top = raw.agg(F.max("kafka_offset")).first()[0] or 0
+    for low, high in ((0, top // 3), (top // 3, 2 * top // 3), (top // 3, 2 * top // 3), (top // 2, top)):
+        step(USERS, raw.where(F.col("kafka_offset").between(low, high)), lake, F.expr(RUN_TS))
+    return lake.read()
+
+
+def cdc_incremental_equals_full(spark: SparkSession, d: str) -> DataFrame:
+    return _current(_batches(spark, d, False))
+
+
+def cdc_incremental_history(spark: SparkSession, d: str) -> DataFrame:
+    return _history(_batches(spark, d, True))
+
+
+def cdc_drop_replayed(spark: SparkSession, d: str) -> DataFrame:
+    raw = bronze(spark, d)
+    committed = cdc.max_offsets(raw.where("kafka_offset < 1000 and kafka_partition < 2"))
+    return cdc.drop_written(raw, committed).groupBy("kafka_partition").agg(F.count("*").alias("kept"), F.max("kafka_offset").alias("max_offset"))
+
+
+CURRENT_SQL = f"WITH {BRONZE_CTE} SELECT user_id, event_type, k, op = 'd' AS is_deleted, op, event_id AS seq, ms AS source_ms FROM b QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1"
+HISTORY_SQL = f"WITH {VERSIONS_CTE} SELECT user_id, event_type, k, valid_from, valid_to, valid_to IS NULL AS is_current, seq, op FROM v"
+CLOSE_SQL = f"WITH {BRONZE_CTE} SELECT user_id, min(ms) AS valid_to, min(event_id) AS seq FROM b GROUP BY user_id"
+MERGE_SQL = f"WITH {VERSIONS_CTE} SELECT user_id, NULL AS event_type, NULL AS k, min(ms) AS valid_to, min(event_id) AS seq, 'close' AS action FROM b GROUP BY user_id UNION ALL SELECT user_id, event_type, k, valid_to, seq, 'insert' FROM v"
+REPLAY_SQL = f"""WITH {BRONZE_CTE}, m AS (SELECT user_id % 3 AS p, max(event_id) AS top FROM b WHERE event_id < 1000 AND user_id % 3 < 2 GROUP BY 1)
+  SELECT CAST(user_id % 3 AS INTEGER) AS kafka_partition, count(*) AS kept, max(event_id) AS max_offset FROM b LEFT JOIN m ON p = user_id % 3 WHERE event_id > coalesce(top, -1) GROUP BY 1"""
+
+# --- reference data -----------------------------------------------------------------------------------------------------------
+
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+
+
+def _wide(spark: SparkSession, d: str) -> DataFrame:
+    """Order counts by year and priority, a column for each month (null where none), as text."""
+    orders = table(spark, d, "orders").selectExpr("year(o_orderdate) AS fiscal_year", "o_orderpriority AS label", "month(o_orderdate) AS m")
+    wide = orders.groupBy("fiscal_year", "label").pivot("m", list(range(1, 13))).count()
+    return wide.select("fiscal_year", "label", *(F.col(str(i + 1)).cast("string").alias(x) for i, x in enumerate(MONTHS)))
+
+
+ALIASES = {"1-URGENT": "urgent", "2-HIGH": "high"}
+
+
+def unpivot_targets(spark: SparkSession, d: str) -> DataFrame:
+    long = reshape.unpivot(_wide(spark, d), ["fiscal_year", "label"], MONTHS, "month_name", "raw")
+    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.col("month_name"))
+    return long.select("label", F.make_date("fiscal_year", month.cast("int"), F.lit(1)).alias("month_start"), F.col("raw").cast("decimal(12,2)").alias("target"))
+
+
+def alias_lookup(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders").selectExpr("concat(' ', o_orderpriority, ' ') AS label")
+    return reshape.alias_lookup(orders, "label", ALIASES, "category").groupBy("category").agg(F.count("*").alias("n"))
+
+
+def newest_file_wins(spark: SparkSession, d: str) -> DataFrame:
+    loads = table(spark, d, "orders").selectExpr("o_orderkey", "o_orderpriority", "CAST(o_orderdate AS DATE) AS loaded")
+    return reshape.newest_load(loads, ["o_orderpriority"], "loaded")
+
+
+def fx_flatten_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Two payloads for each brand of part; the newer wins for each day and currency."""
+    parts = table(spark, d, "part").selectExpr("p_partkey", "p_brand", "CAST(p_partkey % 5 + 1 AS INT) AS day", "p_size")
+    payloads = parts.selectExpr("""concat('{"base":"', p_brand, '","rates":{"2026-09-0', day, '":{"EUR":', p_size, '.5,"IDR":', p_size * 100, '.0}}}') AS payload""", "p_partkey AS loaded")
+    flat = reshape.flatten_rates(payloads, "payload", "loaded")
+    return reshape.newest_wins(flat, ["rate_date", "base_currency", "currency"], [F.desc("loaded")])
+
+
+UNPIVOT_SQL = "SELECT o_orderpriority AS label, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, CAST(count(*) AS DECIMAL(12,2)) AS target FROM orders GROUP BY ALL"
+ALIAS_SQL = "SELECT coalesce(a, trim(o_orderpriority)) AS category, count(*) AS n FROM orders LEFT JOIN (VALUES ('1-URGENT', 'urgent'), ('2-HIGH', 'high')) t(l, a) ON l = trim(o_orderpriority) GROUP BY 1"
+NEWEST_SQL = "SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS loaded FROM orders QUALIFY CAST(o_orderdate AS DATE) = max(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_orderpriority)"
+FLATTEN_SQL = """WITH f AS (SELECT make_date(2026, 9, CAST(p_partkey % 5 + 1 AS INTEGER)) AS rate_date, p_brand AS base_currency, currency, CASE currency WHEN 'EUR' THEN p_size + 0.5 ELSE p_size * 100 END::DOUBLE AS rate, p_partkey AS loaded
+  FROM part CROSS JOIN (VALUES ('EUR'), ('IDR')) c(currency)) SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY rate_date, base_currency, currency ORDER BY loaded DESC) = 1"""
+
+# --- quality ------------------------------------------------------------------------------------------------------------------
+
+
+def _count(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations")
+
+
+def dq_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Violations of every check, over a current state and a history that were damaged on purpose."""
+    rows = typed(spark, d)
+    current = cdc.latest_per_key(rows, ["user_id"], ["_seq"])
+    history = cdc.versions(rows, USERS)
+    hurt = history.withColumn("_is_current", F.col("_is_current") | (F.col("_seq") % 500 == 0)).withColumn("_valid_to", F.when(F.col("_seq") % 700 == 0, F.col("_valid_from") - F.expr("interval 1 day")).otherwise(F.col("_valid_to")))
+    checks = {"pk_unique": quality.duplicate_keys(rows, ["user_id"]), "pk_not_null": quality.null_keys(rows.withColumn("user_id", F.expr("nullif(user_id, 7)")), ["user_id"])}
+    checks |= quality.history_checks(hurt, current, ["user_id"])
+    out = None
+    for name, df in checks.items():
+        one = _count(df, name)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+DQ_SQL = f"""WITH {VERSIONS_CTE}, h AS (SELECT user_id, valid_from, CASE WHEN seq % 700 = 0 THEN valid_from - 86400000 ELSE valid_to END AS valid_to, valid_to IS NULL OR seq % 500 = 0 AS is_current FROM v),
+  live AS (SELECT user_id FROM (SELECT user_id, op FROM b QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1) WHERE op <> 'd')
+SELECT 'pk_unique' AS "check", count(*) AS violations FROM (SELECT user_id FROM b GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'pk_not_null', count(*) FROM b WHERE user_id = 7
+UNION ALL SELECT 'scd2_one_current_version', count(*) FROM (SELECT user_id FROM h WHERE is_current GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'scd2_valid_interval', count(*) FROM h WHERE valid_to < valid_from
+UNION ALL SELECT 'scd2_open_iff_current', count(*) FROM h WHERE is_current <> (valid_to IS NULL)
+UNION ALL SELECT 'scd2_matches_current_state', count(*) FROM (SELECT user_id FROM h WHERE is_current) x FULL JOIN live y ON x.user_id = y.user_id WHERE x.user_id IS NULL OR y.user_id IS NULL"""
+
+
+def _model_test(test: str) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        table(spark, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", "nullif(l_returnflag, 'R') AS flag", "l_quantity").createOrReplaceTempView("tested")
+        return _count(spark.sql(quality.test_sql(test, "tested")), test)
+
+    return run
+
+
+MODEL_TESTS = {
+    "model_test_unique": ("unique(l_orderkey, l_linenumber)", "SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"),
+    "model_test_not_null": ("not_null(flag)", "SELECT 1 FROM lineitem WHERE l_returnflag = 'R'"),
+    "model_test_assert_empty": ("assert_empty: SELECT * FROM tested WHERE l_quantity > 45", "SELECT 1 FROM lineitem WHERE l_quantity > 45"),
+}
+
+
+def reconcile_orders(spark: SparkSession, d: str) -> DataFrame:
+    source = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    copy = source.where("o_orderkey % 11 <> 0").withColumn("o_orderstatus", F.expr("if(o_orderkey % 13 = 0, 'X', o_orderstatus)"))
+    extra = source.where("o_orderkey % 17 = 0").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    return quality.reconcile(source, copy.unionByName(extra), ["o_orderkey"])
+
+
+RECONCILE_SQL = """SELECT o_orderkey, 'missing' AS status FROM orders WHERE o_orderkey % 11 = 0 UNION ALL SELECT o_orderkey, 'mismatched' FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 = 0
+UNION ALL SELECT -o_orderkey - 1, 'extra' FROM orders WHERE o_orderkey % 17 = 0"""
+
+
+def infer_column_types(spark: SparkSession, d: str) -> DataFrame:
+    text = table(spark, d, "orders").selectExpr("CAST(o_orderkey AS STRING) AS a", "CAST(o_totalprice AS STRING) AS b", "CAST(CAST(o_orderdate AS DATE) AS STRING) AS c", "o_orderpriority AS d", "lpad(CAST(o_orderkey AS STRING), 12, '0') AS e", "if(o_orderkey % 2 = 0, 'true', 'False') AS f", "CAST(o_orderdate AS STRING) AS g")
+    return spark.createDataFrame(sorted(infer_types(text).items()), "name string, type string")
+
+
+INFER_SQL = "SELECT * FROM (VALUES ('a', 'BIGINT'), ('b', 'DOUBLE'), ('c', 'DATE'), ('d', 'VARCHAR'), ('e', 'VARCHAR'), ('f', 'BOOLEAN'), ('g', 'TIMESTAMP')) t(name, type)"
+
+
+def lineage_edges(spark: SparkSession, d: str) -> DataFrame:
+    models = runner.load_models(MODELS) | {"fct_order_items": runner.parse_model("fct_order_items", "-- order lines\nsilver.shop_orders silver.shop_order_items silver.shop_products silver.shop_customers silver.reference_fx_rates")}
+    return spark.createDataFrame(runner.lineage(models), "upstream string, downstream string")
+
+
+_PLAIN: dict[str, tuple[Query, str | None]] = {
+    "fct_order_items": (fct_order_items, f"WITH {FCT_CTE} SELECT * FROM fct"),
+    "asof_backward": (_asof("left", 100_000), _asof_sql("LEFT")),
+    "asof_inner": (_asof("inner", 100_000), _asof_sql("")),
+    "asof_backward_large": (_asof("left", 0), _asof_sql("LEFT")),
+    "debezium_parse": (debezium_parse, DEBEZIUM_SQL),
+    "cdc_current_state": (cdc_current_state, CURRENT_SQL),
+    "cdc_history_scd2": (cdc_history_scd2, HISTORY_SQL),
+    "cdc_close_rows": (cdc_close_rows, CLOSE_SQL),
+    "scd2_merge_source": (scd2_merge_source, MERGE_SQL),
+    "cdc_incremental_equals_full": (cdc_incremental_equals_full, CURRENT_SQL),
+    "cdc_incremental_history": (cdc_incremental_history, HISTORY_SQL),
+    "cdc_drop_replayed": (cdc_drop_replayed, REPLAY_SQL),
+    "unpivot_targets": (unpivot_targets, UNPIVOT_SQL),
+    "alias_lookup": (alias_lookup, ALIAS_SQL),
+    "newest_file_wins": (newest_file_wins, NEWEST_SQL),
+    "fx_flatten_dedup": (fx_flatten_dedup, FLATTEN_SQL),
+    "dq_checks": (dq_checks, DQ_SQL),
+    "reconcile_orders": (reconcile_orders, RECONCILE_SQL),
+    "infer_types": (infer_column_types, INFER_SQL),
+    "lineage_edges": (lineage_edges, None),
+}
+
+
+def _registered() -> dict[str, tuple[Query, str | None]]:
+    mart = {"mart_sales_vs_target": (mart_sales_vs_target, f"{_mart_sql()} SELECT * FROM mart")}
+    reports = {n: (_report(sql), f"{_mart_sql()} {sql}") for n, sql in REPORTS.items()}
+    tests = {n: (_model_test(test), f"SELECT '{test}' AS \"check\", count(*) AS violations FROM ({sql})") for n, (test, sql) in MODEL_TESTS.items()}
+    return _PLAIN | mart | reports | tests
+
+
+def queries() -> dict[str, Query]:
+    return {n: q for n, (q, _) in _registered().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {n: sql for n, (_, sql) in _registered().items() if sql}
