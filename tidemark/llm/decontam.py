@@ -146,7 +146,7 @@ def align(item: np.ndarray, passages: list[np.ndarray]) -> list[tuple[int, int]]
         same = text[:, j - 1] == item[i - 1]
         cell = np.where(same, match, miss) + before[:, i - 1]
         cell = np.maximum(np.maximum(cell, last[:, i - 1] + skip), last[:, i] + insert)
-        cell = np.where(cell < one // 2, 0, cell)
+        cell = np.where(cell < score // 2, 0, cell)  # a score of 0 starts anew
         cell[j[None, :] > lengths[:, None]] = 0
         best = np.maximum(best, cell.max(axis=1))
         now = np.zeros((count, width + 1), np.int64)

@@ -26,6 +26,7 @@ ORDERS = (3, 4, 5)
 BUCKETS = 1 << 17
 WIDTH = 8
 PASSAGE, STEP = 16, 8
+BIAS = -2.0  # of the softmax; it is not trained, so that n-grams which training never saw speak for a clean text
 MAX_BYTES = 12 << 20  # of training text, for each class
 
 
@@ -94,7 +95,7 @@ def score_texts(model: ToxicityModel, text: pa.Array) -> np.ndarray:
 
 
 def train(texts: list[str], labels: np.ndarray, epochs: int = 60, refine: int = 80, rate: float = 0.3, decay: float = 1e-4, seed: int = 5) -> ToxicityModel:
-    """Joint Adam steps on embeddings, class difference and bias over all passages, then over the worst passage of each text."""
+    """Joint Adam steps on embeddings and class difference over all passages, then over the worst passage of each text."""
     if len(set(labels.tolist())) < 2:
         return ToxicityModel(np.zeros(BUCKETS), -500.0)
     words, flat, counts = split_words(pa.array(texts, pa.large_string()).cast(pa.string()))
@@ -107,7 +108,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 60, refine: int =
     size = np.maximum(1, end - first)
     y = labels.astype(float)
     rng = np.random.default_rng(seed)
-    params = {"e": rng.normal(0, 0.1, (len(used), WIDTH)), "u": rng.normal(0, 0.5, WIDTH), "b": np.zeros(1)}
+    params = {"e": rng.normal(0, 0.1, (len(used), WIDTH)), "u": rng.normal(0, 0.5, WIDTH), "b": np.full(1, BIAS)}
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items()}
     for epoch in range(1, epochs + refine + 1):
         word = _means((params["e"] @ params["u"])[grams], word_end - per_word, word_end)
@@ -129,7 +130,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 60, refine: int =
         np.add.at(edge, end, -slope / size)
         by_word = np.bincount(flat, weights=np.cumsum(edge[:-1]), minlength=len(words))
         by_gram = np.bincount(grams, weights=by_word[owner] * share, minlength=len(used))
-        slopes = {"e": by_gram[:, None] * params["u"][None, :] + decay * params["e"] / len(used), "u": params["e"].T @ by_gram, "b": np.array([slope.sum()])}
+        slopes = {"e": by_gram[:, None] * params["u"][None, :] + decay * params["e"] / len(used), "u": params["e"].T @ by_gram}
         for k, g in slopes.items():
             m, v = moments[k]
             m += 0.1 * (g - m)
