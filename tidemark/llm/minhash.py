@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import groups, materialise, split_words, text_slices
@@ -148,6 +148,17 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _across(within: np.ndarray, between: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that join the components of either block across the blocks: what is joined within them is known elsewhere."""
+    root = np.arange(len(within))
+    for u, v in _forest(within):  # a tree is listed from its root on
+        root[v] = root[u]
+    joined = np.zeros_like(between)
+    u, v = np.nonzero(between)
+    joined[root[u], root[v]] = True
+    return _forest(joined)
+
+
 def _verifier(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: tuple[list, list, list] = ([], [], [])
@@ -160,18 +171,15 @@ def _verifier(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                 both = overlaps(sets)
                 linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
                 np.fill_diagonal(linked, False)
-                if block["lo"][0].as_py() != block["hi"][0].as_py():
-                    linked &= own[:, None] != own[None, :]  # pairs within a block have a task of their own
+                edges = _forest(linked)
+                if block["lo"][0].as_py() != block["hi"][0].as_py():  # pairs within a block have a task of their own
+                    same = own[:, None] == own[None, :]
+                    edges = _across(linked & same, linked & ~same)
+                    linked &= ~same
                 counts = linked @ copies
-                forest: dict[int, list[int]] = {}
-                for u, v in _forest(linked):
-                    forest.setdefault(u, []).append(v)
-                for i in np.flatnonzero(counts).tolist():
-                    ends = forest.get(i) or [None]
-                    for j, v in enumerate(ends):
-                        out[0].append(nodes[i])
-                        out[1].append(None if v is None else nodes[v])
-                        out[2].append(int(counts[i]) if j == 0 else 0)
+                rows = [(nodes[i], None, int(counts[i])) for i in np.flatnonzero(counts).tolist()] + [(nodes[u], nodes[v], 0) for u, v in edges]
+                for held, values in zip(out, zip(*rows, strict=True), strict=False):
+                    held.extend(values)
             if len(out[0]) > 5000:
                 yield _links(out)
                 out = ([], [], [])
@@ -197,7 +205,9 @@ def jaccard_classes(docs: DataFrame, key: str, text: str, n: int = 5, threshold:
     hashed = signed.select("node", F.explode("bands").alias("band"))
     buckets = hashed.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last").select("band", "lead")
     stars = hashed.join(buckets, "band").where("node <> lead").select("node", "lead").distinct()
-    candidates = components(stars, "node", "lead")
+    # each node hangs on the smallest of its leads, and its other leads on that one: few leads make few distinct pairs
+    hung = stars.withColumn("least", F.min("lead").over(Window.partitionBy("node")))  # a row for each band at most
+    candidates = components(hung.select("node", "least").union(hung.select("lead", "least")).distinct(), "node", "least")
 
     # each candidate meets every block of its component
     sizes = candidates.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
