@@ -27,7 +27,7 @@ BUCKETS = 1 << 17
 WIDTH = 8
 PASSAGE, STEP = 16, 8
 BIAS = -2.0  # of the softmax; it is not trained, so that n-grams which training never saw speak for a clean text
-MAX_BYTES = 12 << 20  # of training text, for each class
+MAX_BYTES = 5 << 20  # of training text, for each class
 
 
 @dataclass(frozen=True)
@@ -101,8 +101,9 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 60, refine: int =
     words, flat, counts = split_words(pa.array(texts, pa.large_string()).cast(pa.string()))
     grams, per_word = subwords(words)
     used, grams = np.unique(grams, return_inverse=True)
+    grams, flat = grams.astype(np.int32), flat.astype(np.int32)
     word_end = np.cumsum(per_word)
-    owner = np.repeat(np.arange(len(words)), per_word)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), per_word)
     share = 1.0 / np.maximum(1, per_word)[owner]
     first, end, row = _spans(counts)
     size = np.maximum(1, end - first)
