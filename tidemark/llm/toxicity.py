@@ -26,7 +26,7 @@ ORDERS = (3, 4, 5)
 BUCKETS = 1 << 17
 WIDTH = 8
 PASSAGE, STEP = 16, 8
-BIAS = -2.0  # of the softmax; it is not trained, so that n-grams which training never saw speak for a clean text
+BIAS = -3.0  # of the softmax; it is not trained, so that n-grams which training never saw speak for a clean text
 MAX_BYTES = 5 << 20  # of training text, for each class
 
 
@@ -145,13 +145,17 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 60, refine: int =
 def sample(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, label: str, max_rows: int = 3000, max_bytes: int = MAX_BYTES) -> tuple[list[str], np.ndarray]:
     """Whole texts and labels of a bounded sample: about max_rows rows and max_bytes bytes of either class, by a hash of the key."""
     marked = labels.select(F.col(label_key).alias("id"), F.col(label).alias("y")).where("y in (0, 1) and id is not null")
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("text is not null").join(marked, "id")
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("text is not null")
     place = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 24))
-    sizes = {r["y"]: (r["n"], r["bytes"]) for r in rows.groupBy("y").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()}
+    lengths = rows.select("id", F.octet_length("text").alias("bytes")).join(marked, "id")
+    sizes = {r["y"]: (r["n"], r["bytes"]) for r in lengths.groupBy("y").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).collect()}
+    limit = {y: math.ceil((1 << 24) * min(1.0, max_rows / n, max_bytes / max(1, size))) for y, (n, size) in sizes.items()}
+    most = max(limit.values(), default=0)
     kept = F.lit(False)
-    for y, (n, size) in sizes.items():
-        kept = kept | ((F.col("y") == y) & (place < math.ceil((1 << 24) * min(1.0, max_rows / n, max_bytes / max(1, size)))))
-    picked = rows.where(kept).orderBy(place, "id", "text").select("text", "y").toArrow()
+    for y, below in limit.items():
+        kept = kept | ((F.col("y") == y) & (place < below))
+    # texts outside the larger share never meet the labels, so the join moves the sample alone
+    picked = rows.where(place < most).join(marked.where(place < most), "id").where(kept).orderBy(place, "id", "text").select("text", "y").toArrow()
     return picked["text"].to_pylist(), picked["y"].to_numpy().astype(np.int64)
 
 
