@@ -49,7 +49,8 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rolled = np.full(len(codes), n, np.uint64)
         fits = at + n <= ends
         for i in range(n):
-            rolled[: len(codes) - i] = rolled[: len(codes) - i] * np.uint64(0x100000001B3) + codes[i:]
+            inside = max(0, len(codes) - i)
+            rolled[:inside] = rolled[:inside] * np.uint64(0x100000001B3) + codes[i:]
         rolled ^= rolled >> np.uint64(29)
         rolled *= np.uint64(0xBF58476D1CE4E5B9)
         hashes.append((rolled[fits] >> np.uint64(47)).astype(np.int64) % BUCKETS)
