@@ -328,3 +328,35 @@ def test_pipeline_stages(spark, tmp_path):
         kept.append({r["doc_id"] for r in left.select("doc_id").collect()})
     assert kept[0] == {*range(60), 100, 101} and kept[1] == {*range(60), 101} and kept[2] == set(range(60)) and kept[4] == kept[3]
     assert {"shard", "slot"} <= set(left.columns)
+
+
+def test_queries_match_their_sql(spark, tmp_path):
+    """Nulls, blanks, short and repeated texts; DuckDB reads the same files."""
+    duckdb = pytest.importorskip("duckdb")
+    from tidemark.llm import queries
+
+    rng = random.Random(3)
+    base = [prose(EN, n, rng) for n in (40, 60, 3, 90)]
+    edited = [" ".join([*t.split()[:-1], "zz"]) for t in base]
+    block = "\n".join(prose(DE, 9, rng) for _ in range(4))
+    texts = [*base, *edited, base[1], f"{base[0]}\n{block}\n\ntail", f"head\n{block}", f"{block}\n{block}", "", " ", None, "..."]
+    vectors = [[rng.choice([-1.0, 0.5, 2.0]) for _ in range(4)] for _ in range(60)] + [None, [0.0] * 4, [None, 1.0, 1.0, 1.0], [float("nan")] * 4]
+    turns = [(c, t, ("user", "assistant", "system", None)[(c + t) % 4], rng.choice(["<s>a", "b\\[INST]", "é\n", None, "[/INST]</s>"])) for c in range(5) for t in range(4)]
+    tables = {
+        "documents": spark.createDataFrame([(i, t, "en", "web", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long"),
+        "pages": spark.createDataFrame([(i, "u", x) for i, x in enumerate(["<a>", None, "é" * 50, "<a>", "", "z" * 70000, "<a>"])], "page_id long, url string, html string"),
+        "embeddings": spark.createDataFrame([(i, v, 0) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, label int"),
+        "conversations": spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"),
+    }
+    con = duckdb.connect()
+    for name, table in tables.items():
+        table.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    told = queries.oracle_sql()
+    assert set(told) <= set(queries.queries())
+    for name, statement in told.items():
+        found = con.execute(statement)
+        columns = [c[0] for c in found.description]
+        got = queries.queries()[name](spark, str(tmp_path))
+        assert sorted(columns) == sorted(got.columns), name
+        assert sorted(map(repr, found.fetchall())) == sorted(repr(tuple(r[c] for c in columns)) for r in got.collect()), name

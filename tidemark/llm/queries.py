@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, chat, decontam, hilbert, langid, linededup, minhash, mixing, toxicity, warc
+from tidemark.llm import ann, chat, decontam, hilbert, langid, linededup, minhash, mixing, sql, toxicity, warc
 from tidemark.llm.common import fresh_path
 
 
@@ -111,4 +111,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
