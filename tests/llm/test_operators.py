@@ -152,6 +152,27 @@ def test_leaks(spark):
     assert decontam.leaks(df.limit(0), "id", "text", tests, "item", "q").count() == 0
 
 
+def test_leaks_find_copies_with_replaced_and_inserted_words(spark):
+    """Against plain alignment: every word of an item is its own, and edits stand as far apart as they can."""
+    items, docs = [], []
+    for size, replaced, inserted in [(18, 2, 2), (19, 2, 2), (19, 3, 1), (24, 4, 1), (5, 1, 0), (18, 3, 1), (24, 5, 1), (12, 0, 3), (8, 0, 2)]:
+        own = [f"i{len(items)}w{k}" for k in range(size)]
+        spots = [(2 * k + 1) * size // (2 * (replaced + inserted)) for k in range(replaced + inserted)]
+        copy = [w if k not in spots[:replaced] else f"new{k}" for k, w in enumerate(own)]
+        for k in reversed(spots[replaced:]):
+            copy.insert(k, f"put{k}")
+        docs.append((len(items), " ".join([*[f"a{k}" for k in range(40)], *copy, *[f"b{k}" for k in range(40)]])))
+        items.append((len(items), " ".join(own)))
+    told = {}
+    for (i, text), (_, item) in zip(docs, items, strict=True):
+        matched, inserted = edits(item.split(), text.split())
+        if matched / (len(item.split()) + inserted) >= 0.8:
+            told[i, i] = matched / (len(item.split()) + inserted)
+    assert {(i, i) for i in (0, 1, 2, 3, 4, 7, 8)} == set(told)
+    found = decontam.leaks(spark.createDataFrame(docs, "id long, text string"), "id", "text", spark.createDataFrame(items, "item long, text string"), "item", "text")
+    assert {(r["id"], r["item"]): r["similarity"] for r in found.collect()} == pytest.approx(told)
+
+
 # 5
 def test_language_backoff(spark):
     rows = [(i, prose(EN if i % 2 else DE, 30), "en" if i % 2 else "de", 1) for i in range(120)]

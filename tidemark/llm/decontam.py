@@ -1,17 +1,19 @@
 """Benchmark decontamination: rare n-gram seeds propose passages, Smith-Waterman alignment scores them.
 
-A test item of L words may lose at most e = floor((1 - similarity) * L) of them, which destroys at most n * e of its word n-grams.
-Hence any n * e + 1 of its n-grams hold a survivor: the seeds are the rarest that many, by document frequency over the whole
-corpus. A passage around a seed is aligned only if as many n-grams as must survive occur in it (both steps lose no match). The
-similarity of the best local alignment is matched words / (item words + inserted words).
+A copy of an item of L words that lacks l of them and has x inserted ones is similar by (L - l) / (L + x). A lacking word destroys at
+most n of the item's word n-grams, an inserted one n - 1; D is the most that a copy which reaches the similarity destroys. Hence any
+D + 1 n-grams hold a survivor: the seeds are the rarest that many, by document frequency over the whole corpus. A passage around
+a seed is aligned only if as many n-grams as must survive occur in it (both steps lose no match). Where no n-gram must survive, the
+item takes shorter ones. The similarity of the best local alignment is matched words / (item words + inserted words).
 
-Items come in blocks of bounded size; each block is one pass to count and one pass to align. Texts shorter than an alignment and
+Items come in blocks of bounded size; each block is one pass to count and one to align for each length of its n-grams. Texts shorter than an alignment and
 items of fewer than min_words words, null or blank texts and null ids take no part. Repeated rows each give their own result;
 an item's copies each give theirs. Empty tables give an empty result. Only ids and texts are read, so no other column can clash.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -43,6 +45,7 @@ class Items:
     first: np.ndarray  # where a code's occurrences begin; one more at the end
     need: np.ndarray  # n-grams of each item that must survive
     spare: np.ndarray  # words that an item may lose
+    broken: np.ndarray  # n-grams that an item may lose
     seed: np.ndarray | None = None  # of each occurrence: whether it is a seed
 
 
@@ -60,14 +63,31 @@ def _codes(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def prepare(rows: list, n: int, similarity: float, min_words: int) -> Items:
-    """Items from (id, text) rows."""
+def destroyed(size: int, n: int, similarity: float) -> int:
+    """The most n-grams of an item of size words that a copy which reaches the similarity may lack."""
+    least = similarity - 1e-9
+    return max(n * math.floor(size - least * (size + x)) + (n - 1) * x for x in range(math.floor(size / least - size) + 1))
+
+
+def _gram_size(size: int, n: int, similarity: float) -> int:
+    """The largest size, up to n, of which every copy keeps an n-gram; of single words one stays always."""
+    return next((k for k in range(min(n, size), 1, -1) if size - k + 1 > destroyed(size, k, similarity)), 1)
+
+
+def prepare(rows: list, n: int, similarity: float, min_words: int) -> list[Items]:
+    """Items from (id, text) rows, apart by the size of their n-grams."""
     vocab, flat, counts = split_words(pa.array([r[1] for r in rows], pa.string()))
     if len(vocab) >= _BASE or n > 3:
         raise ValueError("a block of items has too many distinct words, or n is over 3")
     ends = np.cumsum(counts)
-    kept = [i for i in range(len(rows)) if counts[i] >= max(n, min_words)]
-    words = [flat[ends[i] - counts[i] : ends[i]] for i in kept]
+    by_size: dict[int, list[int]] = {}
+    for i in range(len(rows)):
+        if counts[i] >= max(1, min_words):
+            by_size.setdefault(_gram_size(int(counts[i]), n, similarity), []).append(i)
+    return [_indexed([rows[i][0] for i in kept], [flat[ends[i] - counts[i] : ends[i]] for i in kept], vocab, k, similarity) for k, kept in sorted(by_size.items())]
+
+
+def _indexed(ids: list, words: list[np.ndarray], vocab: list[str], n: int, similarity: float) -> Items:
     grams = [_codes(w, n)[: len(w) - n + 1] for w in words]
     code = np.concatenate(grams) if grams else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(words)), [len(g) for g in grams])
@@ -76,17 +96,18 @@ def prepare(rows: list, n: int, similarity: float, min_words: int) -> Items:
     codes, first = np.unique(code[order], return_index=True)
     sizes = np.array([len(w) for w in words], np.int64)
     spare = np.floor((1 - similarity) * sizes + 1e-9).astype(np.int64)
-    return Items([rows[i][0] for i in kept], words, vocab, n, codes, owner[order], place[order], np.append(first, len(code)), np.maximum(1, sizes - n + 1 - n * spare), spare)
+    broken = np.array([destroyed(int(s), n, similarity) for s in sizes], np.int64)
+    return Items(ids, words, vocab, n, codes, owner[order], place[order], np.append(first, len(code)), np.maximum(1, sizes - n + 1 - broken), spare, broken)
 
 
 def choose_seeds(items: Items, frequency: dict[int, int]) -> None:
-    """Mark each item's rarest n * e + 1 n-grams; ties go to the earlier place."""
+    """Mark each item's rarest D + 1 n-grams; ties go to the earlier place."""
     freq = np.repeat([frequency.get(int(c), 0) for c in items.codes], np.diff(items.first)) if len(items.codes) else np.zeros(0, np.int64)
     order = np.lexsort((items.place, freq, items.owner))
     starts = np.searchsorted(items.owner[order], np.arange(len(items.ids)))
     rank = np.arange(len(order)) - starts[items.owner[order]]
     items.seed = np.zeros(len(order), bool)
-    items.seed[order] = rank < items.n * items.spare[items.owner[order]] + 1
+    items.seed[order] = rank < items.broken[items.owner[order]] + 1
 
 
 def _numbered(text: pa.Array, vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -230,8 +251,7 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str,
     kinds = f"id {rows.schema['id'].dataType.simpleString()}, item {tests.schema['item'].dataType.simpleString()}"
     found = []
     for some in _blocks(tests, block):
-        ready = prepare(some, n, similarity, min_words)
-        if ready.ids:
+        for ready in prepare(some, n, similarity, min_words):
             counted = rows.mapInArrow(_counter(ready), "code long, docs long").groupBy("code").agg(F.sum("docs").alias("docs"))
             choose_seeds(ready, {r["code"]: r["docs"] for r in counted.collect()})  # a row for each n-gram of the block
             found.append(rows.mapInArrow(_aligner(ready, similarity), f"{kinds}, similarity double, first_word long, n_words long"))
