@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, langid, minhash, mixing, queries
-from tidemark.llm.common import fresh_path
+from tidemark.llm.common import fresh_path, materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+ROW = "__row"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,18 +18,27 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= 0.5)).select(*docs.columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """Every row with a number of its own, written down, since doc_id may be null or repeat with another text."""
+    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each class of linked documents, and one row where rows repeat; rows without an id stay."""
-    classes = minhash.jaccard_classes(docs, "doc_id", "text")
-    kept = classes.where(F.col("id") == F.col("class_id")).select(F.col("id").alias("doc_id")).distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """Keeps one row of each class of linked rows: the one with the smallest id, or any if none has an id. Of rows without a word, those
+    that repeat an id and text are kept once."""
+    rows = numbered(docs)
+    classes = minhash.jaccard_classes(rows, ROW, "text").select(F.col("id").alias(ROW), "class_id")
+    named = rows.select(ROW, "doc_id").join(classes, ROW)
+    first = named.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW].alias(ROW))
+    kept = rows.join(first, ROW, "left_semi").withColumn("__alone", F.when(F.col("doc_id").isNull(), F.col(ROW)))
+    return kept.dropDuplicates(["doc_id", "text", "__alone"]).select(*docs.columns)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes documents that hold a passage aligned with a benchmark item."""
-    leaks = decontam.leaks(docs, "doc_id", "text", queries.table(spark, sf_dir, "benchmark"), "item_id", "text")
-    return docs.join(leaks.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Removes rows that hold a passage aligned with a benchmark item, with or without a doc_id."""
+    rows = numbered(docs)
+    leaks = decontam.leaks(rows, ROW, "text", queries.table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return rows.join(leaks.select(F.col("id").alias(ROW)).distinct(), ROW, "left_anti").select(*docs.columns)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -351,6 +351,20 @@ def test_pipeline_stages(spark, tmp_path):
     assert {"shard", "slot"} <= set(left.columns)
 
 
+def test_pipeline_examines_rows_without_id(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    words = [f"w{i}" for i in range(900)]
+    item, *texts = (" ".join(RNG.sample(words, 60)) for _ in range(5))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    docs = [(None, f"{texts[0]} {item}"), (7, f"{item} {texts[1]}"), (None, texts[1]), (None, texts[2]), (5, texts[2]), (None, f"{texts[3]} tail"), (None, texts[3]), (None, None), (None, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    clean = [(r["doc_id"], r["text"]) for r in pipeline.remove_benchmark(spark, df, f"file://{tmp_path}").collect()]
+    assert sorted(clean, key=str) == sorted(docs[2:], key=str)
+    kept = [(r["doc_id"], r["text"]) for r in pipeline.join_near_copies(spark, df, "").collect()]
+    assert len(kept) == 7 and {docs[0], docs[1], docs[2], docs[4]} < set(kept) and docs[3] not in kept
+    assert kept.count((None, None)) == 2 and sum(x in kept for x in docs[5:7]) == 1
+
+
 def test_queries_match_their_sql(spark, tmp_path):
     """Nulls, blanks, short and repeated texts; DuckDB reads the same files."""
     duckdb = pytest.importorskip("duckdb")
