@@ -365,6 +365,15 @@ def test_pipeline_examines_rows_without_id(spark, tmp_path):
     assert kept.count((None, None)) == 2 and sum(x in kept for x in docs[5:7]) == 1
 
 
+def test_pipeline_decides_by_row_where_an_id_repeats(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    one, two = (" ".join(RNG.sample([f"w{i}" for i in range(900)], 60)) for _ in range(2))
+    docs = [(5, one), (2, two), (5, f"{two} tail"), (5, one), (6, f"{one} tail"), (8, "!!"), (8, "!!"), (8, "??")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted((r["doc_id"], r["text"]) for r in pipeline.join_near_copies(spark, df, "").collect())
+    assert kept == sorted([(5, one), (2, two), (8, "!!"), (8, "??")])
+
+
 def test_queries_match_their_sql(spark, tmp_path):
     """Nulls, blanks, short and repeated texts; DuckDB reads the same files."""
     duckdb = pytest.importorskip("duckdb")
