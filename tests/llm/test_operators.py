@@ -173,6 +173,13 @@ def test_leaks_find_copies_with_replaced_and_inserted_words(spark):
     assert {(r["id"], r["item"]): r["similarity"] for r in found.collect()} == pytest.approx(told)
 
 
+def test_leaks_find_short_items_word_for_word(spark):
+    items = [(1, "Alpha"), (2, "beta gamma"), (3, "one two three four"), (4, "?"), (5, None)]
+    docs = [(0, "x alpha. y"), (1, "beta, gamma"), (2, "beta x gamma"), (3, "zero one two three four five"), (4, "one two three x four"), (5, "one two three five"), (6, "gamma beta")]
+    found = decontam.leaks(spark.createDataFrame(docs, "id long, text string"), "id", "text", spark.createDataFrame(items, "item long, text string"), "item", "text")
+    assert sorted((r["id"], r["item"], r["similarity"]) for r in found.collect()) == [(0, 1, 1.0), (1, 2, 1.0), (3, 3, 1.0)]
+
+
 # 5
 def test_language_backoff(spark):
     rows = [(i, prose(EN if i % 2 else DE, 30), "en" if i % 2 else "de", 1) for i in range(120)]

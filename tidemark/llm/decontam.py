@@ -6,8 +6,9 @@ D + 1 n-grams hold a survivor: the seeds are the rarest that many, by document f
 a seed is aligned only if as many n-grams as must survive occur in it (both steps lose no match). Where no n-gram must survive, the
 item takes shorter ones. The similarity of the best local alignment is matched words / (item words + inserted words).
 
-Items come in blocks of bounded size; each block is one pass to count and one to align for each length of its n-grams. Texts shorter than an alignment and
-items of fewer than min_words words, null or blank texts and null ids take no part. Repeated rows each give their own result;
+Items come in blocks of bounded size; each block is one pass to count and one to align for each length of its n-grams. Items of
+fewer than min_words words count where their exact word sequence stands: their similarity must be 1. Texts shorter than an alignment,
+null or blank texts and null ids take no part. Repeated rows each give their own result;
 an item's copies each give theirs. Empty tables give an empty result. Only ids and texts are read, so no other column can clash.
 """
 
@@ -46,6 +47,7 @@ class Items:
     need: np.ndarray  # n-grams of each item that must survive
     spare: np.ndarray  # words that an item may lose
     broken: np.ndarray  # n-grams that an item may lose
+    least: np.ndarray  # similarity that counts
     seed: np.ndarray | None = None  # of each occurrence: whether it is a seed
 
 
@@ -80,14 +82,14 @@ def prepare(rows: list, n: int, similarity: float, min_words: int) -> list[Items
     if len(vocab) >= _BASE or n > 3:
         raise ValueError("a block of items has too many distinct words, or n is over 3")
     ends = np.cumsum(counts)
+    least = np.where(counts < min_words, 1.0, similarity)
     by_size: dict[int, list[int]] = {}
-    for i in range(len(rows)):
-        if counts[i] >= max(1, min_words):
-            by_size.setdefault(_gram_size(int(counts[i]), n, similarity), []).append(i)
-    return [_indexed([rows[i][0] for i in kept], [flat[ends[i] - counts[i] : ends[i]] for i in kept], vocab, k, similarity) for k, kept in sorted(by_size.items())]
+    for i in np.flatnonzero(counts).tolist():
+        by_size.setdefault(_gram_size(int(counts[i]), n, least[i]), []).append(i)
+    return [_indexed([rows[i][0] for i in kept], [flat[ends[i] - counts[i] : ends[i]] for i in kept], vocab, k, least[kept]) for k, kept in sorted(by_size.items())]
 
 
-def _indexed(ids: list, words: list[np.ndarray], vocab: list[str], n: int, similarity: float) -> Items:
+def _indexed(ids: list, words: list[np.ndarray], vocab: list[str], n: int, least: np.ndarray) -> Items:
     grams = [_codes(w, n)[: len(w) - n + 1] for w in words]
     code = np.concatenate(grams) if grams else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(words)), [len(g) for g in grams])
@@ -95,9 +97,9 @@ def _indexed(ids: list, words: list[np.ndarray], vocab: list[str], n: int, simil
     order = np.argsort(code, kind="stable")
     codes, first = np.unique(code[order], return_index=True)
     sizes = np.array([len(w) for w in words], np.int64)
-    spare = np.floor((1 - similarity) * sizes + 1e-9).astype(np.int64)
-    broken = np.array([destroyed(int(s), n, similarity) for s in sizes], np.int64)
-    return Items(ids, words, vocab, n, codes, owner[order], place[order], np.append(first, len(code)), np.maximum(1, sizes - n + 1 - broken), spare, broken)
+    spare = np.floor((1 - least) * sizes + 1e-9).astype(np.int64)
+    broken = np.array([destroyed(int(s), n, x) for s, x in zip(sizes, least, strict=True)], np.int64)
+    return Items(ids, words, vocab, n, codes, owner[order], place[order], np.append(first, len(code)), np.maximum(1, sizes - n + 1 - broken), spare, broken, least)
 
 
 def choose_seeds(items: Items, frequency: dict[int, int]) -> None:
@@ -213,7 +215,7 @@ def _merged(starts: np.ndarray, slack: int) -> list[tuple[int, int]]:
     return out
 
 
-def _aligner(items: Items, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _aligner(items: Items) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
@@ -231,7 +233,7 @@ def _aligner(items: Items, similarity: float) -> Callable[[Iterator[pa.RecordBat
                         some = spots[low : low + 512]
                         for (r, first, end), (matched, inserted) in zip(some, align(items.words[own], [numbers[a:b] for _, a, b in some]), strict=True):
                             near = matched / (size + inserted)
-                            if near >= similarity - 1e-9:
+                            if near >= items.least[own] - 1e-9:
                                 best[r, own] = max(best.get((r, own), (0.0, 0, 0)), (near, -(first - int(ends[r] - counts[r])), end - first))
                 if best:
                     keys = sorted(best)
@@ -254,7 +256,7 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str,
         for ready in prepare(some, n, similarity, min_words):
             counted = rows.mapInArrow(_counter(ready), "code long, docs long").groupBy("code").agg(F.sum("docs").alias("docs"))
             choose_seeds(ready, {r["code"]: r["docs"] for r in counted.collect()})  # a row for each n-gram of the block
-            found.append(rows.mapInArrow(_aligner(ready, similarity), f"{kinds}, similarity double, first_word long, n_words long"))
+            found.append(rows.mapInArrow(_aligner(ready), f"{kinds}, similarity double, first_word long, n_words long"))
     if not found:
         return docs.sparkSession.createDataFrame([], f"{kinds}, similarity double, first_word long, n_words long")
     return reduce(DataFrame.unionByName, found)
