@@ -59,6 +59,20 @@ def test_chat_round_trip(spark):
         chat.parse("junk")
 
 
+def test_conversations_begin_with_their_marker(spark):
+    rows = [(c, t, "assistant" if t % 2 == c else "user", f"<s>é{t}") for c in (0, 1) for t in range(3)] + [(None, 0, "assistant", "n"), (None, 1, None, None)]
+    segments = chat.format_turns(spark.createDataFrame(rows, "c long, t long, r string, x string"), "c", "t", "r", "x")
+    texts, losses = defaultdict(str), defaultdict(list)
+    for r in chat.conversations(segments).collect():
+        texts[r["conv"]] += r["segment"]
+        losses[r["conv"]].append(chat.unescape(r["segment"].encode()[r["loss_start"] : r["loss_start"] + r["loss_bytes"]].decode()))
+    for conv, text in texts.items():
+        assert text.startswith("<s>[INST]") and text.count("<s>") == 1
+        assert chat.parse(text[3:]) == [(r or "", x or "") for c, _, r, x in rows if c == conv]
+        assert losses[conv] == [x if r == "assistant" else "" for c, _, r, x in rows if c == conv]
+    assert {r["conv"]: r["formatted_chars"] for r in chat.read_back(segments).collect()} == {c: len(t) for c, t in texts.items()}
+
+
 # 2
 def test_hilbert_index_is_a_path(spark):
     cells = [(a, b, c) for a in range(8) for b in range(8) for c in range(8)]

@@ -3,7 +3,7 @@
 Every turn becomes a segment `[INST]role[/INST]text</s>`; a conversation is `<s>` and its segments in order. For a batch, numpy
 computes the pieces' lengths, cumulative offsets and scatter indices, and all pieces are copied into one preallocated Arrow buffer,
 whose offsets are the result's; nothing is concatenated row by row, and no segment needs its neighbours, so a conversation of any
-length is formatted in parallel.
+length is formatted in parallel. The pass over the sorted segments puts `<s>` into the buffer before each conversation's first.
 
 Escaping is reversible: a backslash is doubled, and a control string gets one after its first character; so an escaped text holds
 no control string, and dropping each backslash before its character gives the text back.
@@ -106,6 +106,26 @@ def parse(segment: str) -> list[tuple[str, str]]:
     return [(unescape(m[1]), unescape(m[2])) for m in found]
 
 
+def _begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted segments, each conversation's first with the start marker in front."""
+    last: object = _read_back  # equal to no conversation
+    for batch in batches:
+        convs = batch.column("conv").to_pylist()
+        first = np.array([a != b for a, b in zip([last, *convs], convs)], bool)
+        last = convs[-1] if convs else last
+        marked = pc.binary_join_element_wise(pa.array(np.where(first, START, "").tolist(), pa.string()), batch.column("segment"), "")
+        start = batch.column("loss_start").to_numpy(zero_copy_only=False)
+        moved = pa.array(start + np.where(first & (start > 0), len(START), 0), pa.int64())  # a trained text begins after its role
+        yield pa.RecordBatch.from_arrays([batch.column("conv"), marked, moved, batch.column("loss_bytes")], names=["conv", "segment", "loss_start", "loss_bytes"])
+
+
+def conversations(segments: DataFrame) -> DataFrame:
+    """(conv, segment, loss_start, loss_bytes) in order: joined, the segments of a conversation are its formatted text, marker included."""
+    kind = segments.schema["conv"].dataType.simpleString()
+    ordered = segments.repartition("conv").sortWithinPartitions("conv", "turn", "role", "segment").select("conv", "segment", "loss_start", "loss_bytes")
+    return ordered.mapInArrow(_begin, f"conv {kind}, segment string, loss_start bigint, loss_bytes bigint")
+
+
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digests of sorted segments; one conversation is open at a time, whatever its length."""
     state: dict | None = None
@@ -119,8 +139,13 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for conv, segment, start, size in zip(*(batch.column(c).to_pylist() for c in ("conv", "segment", "loss_start", "loss_bytes")), strict=True):
             if state is None or state["conv"] != conv:
                 close()
-                state = {"conv": conv, "n_turns": 0, "turns_sha256": hashlib.sha256(), "loss_chars": 0, "loss_sha256": hashlib.sha256(), "formatted_chars": len(START)}
-            for role, text in parse(segment):
+                state = {"conv": conv, "n_turns": 0, "turns_sha256": hashlib.sha256(), "loss_chars": 0, "loss_sha256": hashlib.sha256(), "formatted_chars": 0}
+                if not segment.startswith(START):
+                    raise ValueError("a conversation without its start marker")
+                turns = segment[len(START) :]
+            else:
+                turns = segment
+            for role, text in parse(turns):
                 state["n_turns"] += 1
                 state["turns_sha256"].update(f"{role}\n{text}\n".encode())
             loss = unescape(segment.encode()[start : start + size].decode())
@@ -136,7 +161,6 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_back(segments: DataFrame) -> DataFrame:
-    """(conv, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), parsed from the segments of each conversation."""
+    """(conv, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), parsed from the formatted text of each conversation."""
     kind = segments.schema["conv"].dataType.simpleString()
-    ordered = segments.repartition("conv").sortWithinPartitions("conv", "turn", "role", "segment").select("conv", "segment", "loss_start", "loss_bytes")
-    return ordered.mapInArrow(_read_back, f"conv {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
+    return conversations(segments).mapInArrow(_read_back, f"conv {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
