@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import tempfile
-import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -18,6 +16,7 @@ from tidemark.operators.asof import asof_join
 from tidemark.plans import apply, runner
 from tidemark.sources.envelope import parse_envelope
 from tidemark.sources.lake import LakeTable
+from tidemark.storage import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 MODELS = Path(__file__).parent / "plans" / "models"
@@ -32,15 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the folder that driver and executors share."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/tidemark/{tag}-{uuid.uuid4().hex}"
-
-
 # --- order lines in USD -------------------------------------------------------------------------------------------------------
 
 
@@ -216,7 +206,7 @@ def scd2_merge_source(spark: SparkSession, d: str) -> DataFrame:
 def _batches(spark: SparkSession, d: str, history: bool) -> DataFrame:
     """Three batches by offset, the second twice and the third overlapping it, applied to a table."""
     raw = bronze(spark, d)
-    lake = LakeTable(spark, scratch(spark, "history" if history else "current"))
+    lake = LakeTable(spark, fresh_path(spark, "history" if history else "current"))
     step = apply.apply_history if history else apply.apply_current
     top = raw.agg(F.max("kafka_offset")).first()[0] or 0
     for low, high in ((0, top // 3), (top // 3, 2 * top // 3), (top // 3, 2 * top // 3), (top // 2, top)):
