@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, langid, minhash, mixing, queries
 from tidemark.llm.common import fresh_path, materialise
 
+log = logging.getLogger(__name__)
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ROW = "__row"
 
@@ -46,9 +49,10 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = queries.table(spark, sf_dir, "labels")
     domains = sorted(queries.MIX_WEIGHTS)
     model = mixing.fit(docs, "doc_id", "text", labels, "doc_id", queries.domain_label(), domains)
-    scored = mixing.posteriors(docs, "doc_id", "text", model, domains, keep=docs.columns)
-    steps, _, _ = mixing.fit_rates(mixing.materialise(scored.select("tokens", "p"), "posteriors"), domains, queries.MIX_WEIGHTS, queries.MIX_BUDGET)
-    times = mixing.copies(F.col("doc_id"), mixing.rate(steps, len(domains)))
+    scored = materialise(mixing.posteriors(docs, "doc_id", "text", model, keep=docs.columns), "posteriors")
+    found = mixing.fit_rates(scored, domains, queries.MIX_WEIGHTS, queries.MIX_BUDGET)
+    log.info("mixing: %s", mixing.told(found, domains))
+    times = mixing.copies(F.col("doc_id"), mixing.rate(found.steps))
     return scored.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
 
 

@@ -232,14 +232,35 @@ def test_nearest_is_exact(spark):
 
 
 # 7
+def told_toxicity(model, margins, text):
+    words = words_of(text)
+    means = [np.mean(margins[toxicity.subwords([w])[0]]) for w in words]
+    return 1 / (1 + math.exp(-(sum(means) / max(1, len(words)) + model.bias[1] - model.bias[0])))
+
+
+def test_toxicity_sample_is_bounded_and_whole(spark):
+    docs = spark.createDataFrame([(i, "long " * (i + 1), 1) for i in range(200)] + [(None, "x", 1), (5, None, 1), (7, "again", 1)], "id long, text string, y int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(3, None), (4, 7), (None, 1)], "id long, y int")
+    texts, y = toxicity.sample(docs, "id", "text", labels, "id", "y")
+    assert len(texts) == 201 and y.sum() == 101 and sorted(len(t) for t in texts)[-1] == 1000
+    few, _ = toxicity.sample(docs, "id", "text", labels, "id", "y", max_rows=20)
+    assert 10 <= len(few) <= 80 and set(few) <= set(texts)
+    assert toxicity.sample(docs.limit(0), "id", "text", labels, "id", "y")[0] == []
+
+
 def test_toxicity_finds_unseen_misspellings(spark):
     bad = ["blockhead", "nitwitted"]
     toxic = lambda n: " ".join([*prose(EN, n).split(), RNG.choice(bad), *prose(EN, n).split(), RNG.choice(bad)])
-    texts = [toxic(RNG.randint(3, 80)) if i % 2 else prose(EN, RNG.randint(5, 200)) for i in range(300)]
+    texts = [toxic(RNG.randint(3, 40)) if i % 2 else prose(EN, RNG.randint(5, 200)) for i in range(300)]
     model = toxicity.train(texts, np.array([i % 2 for i in range(300)]))
-    rows = [(0, f"{prose(EN, 400)} blokhead nitwited {prose(EN, 400)}"), (1, prose(DE, 300)), (2, None), (3, ""), (4, "..."), (0, "blockheads")]
+    rows = [(0, f"{prose(EN, 20)} blokhead nitwited {prose(EN, 20)}"), (1, prose(DE, 300)), (2, None), (3, ""), (4, "..."), (0, "blockheads")]
     df = spark.createDataFrame(rows, "id long, text string").withColumn("score", F.lit(9))
-    got = [(r["id"], r["score"]) for r in toxicity.score(df, "id", "text", model).collect()]
+    scored = toxicity.score(df, "id", "text", model).collect()
+    got = [(r["id"], r["score"]) for r in scored]
+    # brute force: every word the mean of its n-grams, every text the mean of its words
+    margins = model.margins()
+    for (_, text, _), (_, found) in zip(sorted(df.collect(), key=str), sorted(got, key=str), strict=False):
+        assert any(abs(s - told_toxicity(model, margins, text)) < 1e-9 for _, s in got)
     assert len(got) == 6 and all(0 <= s <= 1 for _, s in got)
     assert all((s >= 0.7) == (i == 0) for i, s in got)
     assert toxicity.score_texts(toxicity.train([], np.array([])), pa.array(["a"])).tolist() == [pytest.approx(0)]
@@ -333,7 +354,7 @@ def test_mixing_meets_targets(spark):
     labels = spark.createDataFrame([(i, "en" if i % 3 else "de") for i in range(100)] + [(7, None), (None, "en")], "id long, kind string")
     weights = {"de": 0.6, "en": 0.4}
     model = mixing.fit(docs, "id", "text", labels, "id", F.col("kind"), ["de", "en"])
-    scored = mixing.posteriors(docs, "id", "text", model, ["de", "en"]).persist()
+    scored = mixing.posteriors(docs, "id", "text", model).persist()
     for r in scored.collect():
         assert sum(r["p"]) == pytest.approx(1)
         if r["id"] is not None and r["id"] < 200 and r["id"] != 3:
@@ -347,6 +368,30 @@ def test_mixing_meets_targets(spark):
     assert {tuple(r["p"]) for r in mixing.mix(docs, "id", "text", labels.limit(0), "id", F.col("kind"), weights).collect()} == {(0.5, 0.5)}
 
 
+@pytest.mark.parametrize(("rows", "weights"), [
+    ([(50, (0.9, 0.1))] * 20 + [(30, (0.2, 0.8))] * 9, {"a": 0.5, "b": 0.5}),
+    ([(40, (0.95, 0.05))] * 20, {"a": 0.01, "b": 0.99}),  # no rates meet these targets
+    ([(7, (0.3, 0.7))], {"a": 0.9, "b": 0.1}),
+    ([(10, (1.0, 0.0)), (10, (0.6, 0.4)), (0, (0.5, 0.5))], {"a": 0.2, "b": 0.8}),
+])
+def test_rates_are_nonnegative_least_squares(spark, rows, weights):
+    """Against coordinate descent on the same squares."""
+    scored = spark.createDataFrame([(t, list(p)) for t, p in rows], "tokens long, p array<double>")
+    found = mixing.fit_rates(scored, ["a", "b"], weights)
+    a = np.array([[t * x for x in p] for t, p in rows]).T
+    x = np.ones(len(rows))
+    for _ in range(20_000):
+        for i in range(len(rows)):
+            if a[:, i].any():
+                x[i] = max(0.0, x[i] - a[:, i] @ (a @ x - found.targets) / (a[:, i] @ a[:, i]))
+    told, start = ((a @ x - found.targets) ** 2).sum(), ((a.sum(axis=1) - found.targets) ** 2).sum()
+    rates = np.array([r[0] for r in scored.select(mixing.rate(found.steps)).collect()])
+    assert np.allclose(a @ rates, found.reached) and (rates >= 0).all()
+    reached = ((a @ rates - found.targets) ** 2).sum()
+    total = sum(t for t, _ in rows)
+    assert reached <= start and math.sqrt(reached) <= math.sqrt(told) + 1e-4 * total and found.residual <= 1e-5
+
+
 def test_copies_keep_the_expected_count(spark):
     got = [r["n"] for r in spark.range(4000).select(mixing.copies(F.col("id"), F.lit(1.3)).alias("n")).collect()]
     assert set(got) == {1, 2} and math.isclose(sum(got) / 4000, 1.3, abs_tol=0.03)

@@ -1,66 +1,16 @@
-"""What the corpus operators share: shared storage, word splitting and group streaming over Arrow batches."""
+"""What the corpus operators share: word splitting and group streaming over Arrow batches."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
 
-SLICE_BYTES = 8 << 20  # text that one vectorised step holds at once
-_SHARED = "spark.checkpoint.dir"
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
-    named = spark.sparkContext.getConf().get(_SHARED) or spark.conf.get(_SHARED, None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(_SHARED, named)
-    return named.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, tag: str) -> str:
-    """A new path under the shared folder; it is removed when the interpreter ends."""
-    path = f"{shared_dir(spark)}/tidemark/{tag}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
-    return path
-
-
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = fresh_path(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def discard(*frames: DataFrame) -> None:
-    """Remove the files behind frames that materialise() returned and nothing will read again."""
-    for df in frames:
-        paths = {f.rpartition("/")[0] for f in df.inputFiles()}
-        for path in paths:
-            if "/tidemark/" in path:
-                _remove(df.sparkSession, path)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-@atexit.register
-def _clean() -> None:
-    for spark, path in _written:
-        if spark.sparkContext._jsc is not None:
-            _remove(spark, path)
+from tidemark.storage import discard, fresh_path, materialise, shared_dir  # noqa: F401
 
+SLICE_BYTES = 8 << 20  # text that one vectorised step holds at once
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each slice holds about limit bytes of the column, one row at least."""

@@ -1,47 +1,89 @@
 """Mixing to target weights by soft membership, in DataFrame functions only.
 
-A naive Bayes classifier over hashed words is fitted on a bounded sample of the labelled table; it gives every document a posterior
-over domains. Rates x >= 0 minimise the squared distance between expected domain tokens, sum of x * tokens * posterior, and the
-targets, by projected gradient: residuals are whitened by the Gram matrix of the domains over the documents whose rate is not 0 (over
-all documents, which makes 1 a safe step, after a step that came no closer), and each step x <- max(0, x - posterior . multipliers)
-needs one aggregate of a few numbers. A rate is a fold of the multipliers so far, so no step rewrites the table. copies() turns
-rates into whole copies, by a hash of the key.
+A naive Bayes classifier is fitted on a bounded sample of the labelled table; it gives every document a posterior over domains. Its
+features are hashed stems (first letters of each word) and shapes of the blank-separated tokens (runs of capitals, small
+letters and digits as one sign each, other characters as they are). Features whose document frequency in no domain differs by
+`ASSOCIATION` standard deviations from chance weigh nothing. Features of one text are no independent evidence, so their sum
+counts times gain * features ** (power - 1); gain and power of each domain are chosen one after the other, until none changes, for the
+least log loss on labelled rows held back.
+
+Rates x >= 0 minimise the squared distance between expected domain tokens, A x with A = tokens * posterior, and the targets, by
+projected gradient. A round is one aggregate of a few numbers: it evaluates several projected steps x <- max(0, x - p . m), the safe
+one among them (the gradient over tokens, with the step 1 / all tokens, which the Lipschitz constant bounds), longer ones, and the
+gradient preconditioned by the Gram matrix of the documents that can move. The one with the least objective is taken, so the objective
+falls at least as with the safe step in every round and never ends above its start. The rounds end when the safe step would move no
+rate by more than the tolerance, or when the objective no longer falls in double precision; their count has no bound. A rate
+is a fold of the multipliers so far, and is written down every few rounds. copies() turns rates into whole copies, by a hash of the key.
 
 Defined cases: null, empty or wordless texts have no tokens, the prior as posterior, and a rate like others of that posterior.
 Null keys and repeated rows are documents like any other. Labels that are null, name no document or contradict each other each
 count as they stand (null ones teach nothing). Without any label every domain gets an equal posterior; an empty table gives an
-empty result. Only key and text are read; outputs carry the key and the columns named here.
+empty result. Targets that no rates can meet give the rates that come nearest in the least squares. Only key and text are read;
+outputs carry the key and the columns named here.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import math
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import discard, materialise
+
+log = logging.getLogger(__name__)
+STEMS, SHAPES = 1 << 13, 1 << 9  # hashed features of either kind
+STEM = 6  # letters
+FEATURES = STEMS + SHAPES
+ASSOCIATION = 3.0  # standard deviations
+# (gain, power of the number of features) to try; power 0 is a mean, 1 a sum
+GAINS = [(0.0, 0.0), (1.0, 0.0), (2.0, 0.0), (4.0, 0.0), (8.0, 0.0), (16.0, 0.0), (0.25, 0.5), (1.0, 0.5)]
+FOLD = 8  # rounds between writes of the rates
+FARTHER = (4.0, 16.0, 64.0)  # steps of the gradient beyond the safe one
+
+
+@dataclass(frozen=True)
+class Classifier:
+    prior: list[float]  # log prior by domain
+    likely: list[list[float]]  # log likelihood of every feature by domain, less its mean; 0 where it tells nothing
+    gains: list[tuple[float, float]]  # gain and power by domain
+
+
+@dataclass(frozen=True)
+class Mix:
+    """Steps from a rate of 1, and how near they come: `residual` is the most that the safe step would still change a rate."""
 
-FEATURES = 4096  # hashed words
+    steps: list[list[float]]
+    targets: list[float]
+    reached: list[float]
+    residual: float
 
 
-def _buckets(text: Column) -> Column:
-    """Feature numbers of the words of a text, in order."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(FEATURES)).cast("int"))
+def _features(text: Column) -> tuple[Column, Column]:
+    """(words, feature numbers of stems and shapes) of a text."""
+    signs = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"\p{Lu}+", "A"), r"[\p{Ll}\p{Lo}\p{M}]+", "a"), r"\p{N}+", "0")
+    shapes = F.transform(F.array_remove(F.split(signs, r"\s+"), ""), lambda w: (F.pmod(F.xxhash64(w), F.lit(SHAPES)) + STEMS).cast("int"))
+    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), "")
+    stems = F.transform(words, lambda w: F.pmod(F.xxhash64(F.substring(w, 1, STEM)), F.lit(STEMS)).cast("int"))
+    return F.size(words).cast("long"), F.concat(stems, shapes)
 
 
-def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, domain: Column, domains: list[str], max_rows: int = 20_000, smoothing: float = 1.0) -> tuple[list[float], dict[str, list[float]]]:
-    """(log prior by domain, log likelihood of every feature by domain), from about max_rows labelled rows chosen by a hash of the key."""
+def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, domain: Column, domains: list[str], max_rows: int = 20_000, smoothing: float = 1.0) -> Classifier:
+    """From about max_rows labelled rows, chosen by a hash of the key; a fifth of them is held back to choose the gains."""
     marked = labels.select(F.col(label_key).alias("id"), domain.alias("domain")).where(F.col("domain").isin(domains))
     total = marked.count()
     share = min(1.0, max_rows / total) if total else 1.0
-    picked = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(1 << 20)) < math.ceil(share * (1 << 20))
-    texts = docs.where(picked(key)).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    sample = marked.where(picked("id")).join(texts, "id")
+    place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(1 << 20))
+    below = math.ceil(share * (1 << 20))
+    texts = docs.where(place(key) < below).select(F.col(key).alias("id"), F.col(text).alias("text"))
+    words, features = _features(F.col("text"))
+    held = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(3)), F.lit(5)) == 0
+    sample = materialise(marked.where(place("id") < below).join(texts, "id").select("domain", words.alias("tokens"), features.alias("__f"), held.alias("held")), "labelled")
     # a row of no feature for each document carries the prior
-    counted = sample.select("domain", F.explode(F.concat(F.array(F.lit(-1)), _buckets(F.col("text")))).alias("feature")).groupBy("domain", "feature").agg(F.count("*").alias("n")).collect()
+    counted = sample.where("not held").select("domain", F.explode(F.concat(F.array(F.lit(-1)), F.array_distinct("__f"))).alias("feature")).groupBy("domain", "feature").agg(F.count("*").alias("n")).collect()
     seen = {d: [0] * FEATURES for d in domains}
     rows = dict.fromkeys(domains, 0)
     for r in counted:
@@ -50,21 +92,49 @@ def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str,
         else:
             seen[r["domain"]][r["feature"]] = r["n"]
     prior = [math.log((rows[d] + smoothing) / (sum(rows.values()) + smoothing * len(domains))) for d in domains]
-    likely = {d: [math.log((c + smoothing) / (sum(seen[d]) + smoothing * FEATURES)) for c in seen[d]] for d in domains}
-    return prior, likely
+    model = Classifier(prior, _likely([seen[d] for d in domains], [rows[d] for d in domains], smoothing), [(4.0, 0.0)] * len(domains))
+    own = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("int")
+    back = materialise(_summed(sample.where("held"), model).withColumn("own", own), "held")
+    gains, best = model.gains, -math.inf
+    while True:
+        began = best
+        for d in range(len(domains)):
+            tried = [[*gains[:d], g, *gains[d + 1 :]] for g in GAINS]
+            got = back.agg(*(_likelihood(replace(model, gains=t)).alias(f"l{i}") for i, t in enumerate(tried))).first()
+            known = [(got[f"l{i}"], -i) for i in range(len(tried)) if got[f"l{i}"] is not None]
+            if known and max(known)[0] > best:
+                best, gains = max(known)[0], tried[-max(known)[1]]
+        if best <= began:
+            discard(sample, back)
+            return replace(model, gains=gains)
+
+
+def _likelihood(model: Classifier) -> Column:
+    """Log likelihood of the labels of rows with sums and own, the number of their domain from 1."""
+    logits = _logits(model)
+    top = F.greatest(*logits, F.lit(-1e300))
+    return F.sum(F.element_at(F.array(*logits), F.col("own")) - top - F.log(sum((F.exp(x - top) for x in logits[1:]), F.exp(logits[0] - top))))
 
 
-def posteriors(docs: DataFrame, key: str, text: str, model: tuple[list[float], dict[str, list[float]]], domains: list[str], strength: float = 60.0, keep: list[str] | None = None) -> DataFrame:
-    """(key or the columns in keep, tokens, p array<double>): mean log likelihood, worth at most `strength` words of evidence."""
-    prior, likely = model
-    base = docs.select(*(keep or [key]), _buckets(F.col(text)).alias("__f"))
-    sums = [_weigh(F.from_json(F.lit(json.dumps([round(x, 9) for x in likely[d]])), "array<double>")) for d in domains]
-    scored = base.withColumns({"tokens": F.size("__f").cast("long"), "__s": F.array(*sums)}).drop("__f")
-    evidence = F.least(F.col("tokens").cast("double"), F.lit(strength)) / F.greatest(F.col("tokens"), F.lit(1))
-    logits = F.array(*(F.lit(b) + F.col("__s")[i] * evidence for i, b in enumerate(prior)))
-    raised = scored.withColumn("__l", logits).withColumn("__e", F.transform("__l", lambda x: F.exp(x - F.array_max("__l"))))
-    total = F.aggregate("__e", F.lit(0.0), lambda a, x: a + x)
-    return raised.withColumn("__t", total).withColumn("p", F.transform("__e", lambda x: x / F.col("__t"))).drop("__s", "__l", "__e", "__t")
+def _likely(seen: list[list[int]], rows: list[int], smoothing: float) -> list[list[float]]:
+    """Weights of every feature by domain, from the documents of each domain that have it."""
+    total, out = sum(rows), [[0.0] * FEATURES for _ in rows]
+    for f in range(FEATURES):
+        counts = [s[f] for s in seen]
+        all_ = sum(counts)
+        shares = [n / total if total else 0.0 for n in rows]
+        if any(abs(c - all_ * q) >= ASSOCIATION * math.sqrt(all_ * q * (1 - q) + 0.5) for c, q in zip(counts, shares, strict=True)):
+            logs = [math.log((c + smoothing) / (n + 2 * smoothing)) for c, n in zip(counts, rows, strict=True)]
+            for d, x in enumerate(logs):
+                out[d][f] = x - sum(logs) / len(logs)
+    return out
+
+
+def _summed(rows: DataFrame, model: Classifier) -> DataFrame:
+    """rows with __s0, __s1 and so on, the summed weights of the features __f by domain, and __n, their number."""
+    weights = [F.from_json(F.lit(json.dumps([round(x, 9) for x in w])), "array<double>") for w in model.likely]
+    sums = {f"__s{d}": _weigh(w) for d, w in enumerate(weights)}
+    return rows.withColumns(sums | {"__n": F.greatest(F.size("__f"), F.lit(1)).cast("double")}).drop("__f")
 
 
 def _weigh(weights: Column) -> Column:
@@ -72,6 +142,24 @@ def _weigh(weights: Column) -> Column:
     return F.aggregate("__f", F.lit(0.0), lambda acc, f: acc + F.get(weights, f))
 
 
+def _logits(model: Classifier) -> list[Column]:
+    return [F.lit(b) + F.col(f"__s{d}") * g * F.pow("__n", F.lit(power - 1)) for d, (b, (g, power)) in enumerate(zip(model.prior, model.gains, strict=True))]
+
+
+def posteriors(docs: DataFrame, key: str, text: str, model: Classifier, keep: list[str] | None = None) -> DataFrame:
+    """(key or the columns in keep, tokens, p array<double>) for every document."""
+    kept = keep or [key]
+    words, features = _features(F.col(text))
+    scored = _summed(docs.select(F.struct(*kept).alias("__kept"), words.alias("tokens"), features.alias("__f")), model)
+    names = [f"__l{d}" for d in range(len(model.prior))]
+    scored = scored.select("__kept", "tokens", *(x.alias(n) for n, x in zip(names, _logits(model), strict=True)))
+    top = F.greatest(*names) if len(names) > 1 else F.col(names[0])
+    odds = scored.select("__kept", "tokens", *(F.exp(F.col(n) - top).alias(n) for n in names))
+    total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
+    shares = odds.withColumn("p", F.array(*(F.col(n) / total for n in names)))
+    return shares.select(*(F.col("__kept")[c].alias(c) for c in kept if c.lower() not in ("tokens", "p")), "tokens", "p")
+
+
 def solve_small(matrix: list[list[float]], right: list[float]) -> list[float]:
     """Gaussian elimination with pivoting, for as many unknowns as domains."""
     n = len(right)
@@ -86,52 +174,89 @@ def solve_small(matrix: list[list[float]], right: list[float]) -> list[float]:
     return [rows[i][n] / rows[i][i] for i in range(n)]
 
 
-def rate(steps: list[list[float]], k: int) -> Column:
-    """The rate after these steps, from 1 on."""
+def _along(step: list[float]) -> Column:
+    return sum((F.col("p")[i] * s for i, s in enumerate(step[1:], 1)), F.col("p")[0] * step[0])
+
+
+def rate(steps: list[list[float]], start: Column | None = None) -> Column:
+    """The rate after these steps."""
+    first = F.lit(1.0) if start is None else start
     if not steps:
-        return F.lit(1.0)
+        return first
     folded = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")
-    move = lambda s: sum((F.col("p")[i] * s[i] for i in range(1, k)), F.col("p")[0] * s[0])
-    return F.aggregate(folded, F.lit(1.0), lambda x, s: F.greatest(F.lit(0.0), x - move(s)))
+    move = lambda s: sum((F.col("p")[i] * s[i] for i in range(1, len(steps[0]))), F.col("p")[0] * s[0])
+    return F.aggregate(folded, first, lambda x, s: F.greatest(F.lit(0.0), x - move(s)))
+
 
+def _candidates(gap: list[float], gram: list[list[float]], total: float) -> list[list[float]]:
+    """Steps to try, the safe one first."""
+    out = [[g * far / total for g in gap] for far in (1.0, *FARTHER)]
+    for ridge in (1e-9, 1e-4):
+        damped = [[x + (ridge * total if i == j else 0.0) for j, x in enumerate(row)] for i, row in enumerate(gram)]
+        out.append(solve_small(damped, gap))
+    return out
 
-def fit_rates(scored: DataFrame, domains: list[str], weights: dict[str, float], budget: float = 1.0, tolerance: float = 1e-6, max_steps: int = 60) -> tuple[list[list[float]], list[float], list[float]]:
-    """(steps of the projected gradient, targets, reached totals) for expected domain tokens of budget * weight * all tokens.
 
-    Stops when every total is within tolerance of its target, relative to all tokens, or no longer moves.
-    """
+def fit_rates(scored: DataFrame, domains: list[str], weights: dict[str, float], budget: float = 1.0, tolerance: float = 1e-6) -> Mix:
+    """Rates for expected domain tokens of budget * weight * all tokens; scored has tokens and p."""
     k = len(domains)
-    t, p = F.col("tokens").cast("double"), [F.col("p")[i] for i in range(k)]
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def sums(name: str, x: Column) -> list[Column]:
+        """Totals by domain and the Gram matrix of the documents that can move."""
+        t = F.col("tokens").cast("double")
+        totals = [F.sum(t * x * F.col("p")[i]).alias(f"{name}a{i}") for i in range(k)]
+        return totals + [F.sum(F.when(x > 0, t * F.col("p")[i] * F.col("p")[j]).otherwise(0.0)).alias(f"{name}g{i}_{j}") for i, j in pairs]
+
+    def taken(row: object, name: str) -> tuple[list[float], list[list[float]]]:
+        return [row[f"{name}a{i}"] for i in range(k)], [[row[f"{name}g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]
+
+    table, written = scored.select("tokens", "p", F.lit(1.0).alias("__start")), None
+    begun = table.agg(F.sum("tokens").alias("all"), *sums("", F.col("__start"))).first()
+    total = float(begun["all"] or 0)
+    if not total:
+        return Mix([], [0.0] * k, [0.0] * k, 0.0)
+    targets = [budget * total * weights[d] / sum(weights.values()) for d in domains]
+    far = lambda a: sum((x - t) ** 2 for x, t in zip(a, targets, strict=True))
+    reached, gram = taken(begun, "")
     steps: list[list[float]] = []
-    before, whole = None, None
+    recent: list[list[float]] = []
     while True:
-        # one aggregate: totals by domain, and the Gram matrix of the documents that can still move
-        free = F.when(F.col("x") > 0, t).otherwise(0.0)
-        grams = [F.sum(free * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]
-        sums = scored.withColumn("x", rate(steps, k)).agg(F.sum("tokens").alias("all"), *(F.sum(t * F.col("x") * p[i]).alias(f"a{i}") for i in range(k)), *grams).first()
-        total = float(sums["all"] or 0)
-        if not total:
-            return [], [0.0] * k, [0.0] * k
-        targets = [budget * total * weights[d] / sum(weights.values()) for d in domains]
-        reached = [sums[f"a{i}"] for i in range(k)]
-        gap = [a - b for a, b in zip(reached, targets, strict=True)]
-        still = before is not None and max(abs(a - b) for a, b in zip(gap, before, strict=True)) < 0.1 * tolerance * total
-        if max(map(abs, gap)) <= tolerance * total or still or len(steps) == max_steps:
-            return steps, targets, reached
-        gram = [[sums[f"g{min(i, j)}_{max(i, j)}"] + (1e-9 * total if i == j else 0.0) for j in range(k)] for i in range(k)]
-        whole = whole or gram  # every rate starts above 0
-        closer = before is None or max(map(abs, gap)) < max(map(abs, before))
-        steps.append(solve_small(gram if closer else whole, gap))
-        before = gap
+        tried = _candidates([a - t for a, t in zip(reached, targets, strict=True)], gram, total)
+        at = table.select("tokens", "p", rate(recent, F.col("__start")).alias("__x"))
+        moved = [F.greatest(F.lit(0.0), F.col("__x") - _along(s)).alias(f"x{c}") for c, s in enumerate(tried)]
+        after = at.select("tokens", "p", F.when(F.col("tokens") > 0, F.abs(F.col("__x") - moved[0])).otherwise(0.0).alias("residual"), *moved)
+        got = after.agg(F.max("residual").alias("residual"), *(s for c in range(len(tried)) for s in sums(f"c{c}_", F.col(f"x{c}")))).first()
+        best = min(range(len(tried)), key=lambda c: far(taken(got, f"c{c}_")[0]))
+        nearer, its_gram = taken(got, f"c{best}_")
+        if got["residual"] <= tolerance * budget or far(nearer) >= far(reached):
+            if written:
+                discard(written)
+            return Mix(steps, targets, reached, got["residual"])
+        reached, gram = nearer, its_gram
+        steps.append(tried[best])
+        recent.append(tried[best])
+        if len(recent) == FOLD:
+            table = materialise(table.select("tokens", "p", rate(recent, F.col("__start")).alias("__start")), "rates")
+            if written:
+                discard(written)
+            written, recent = table, []
+
+
+def told(mix_: Mix, domains: list[str]) -> str:
+    """What was asked and what was reached, for the log."""
+    parts = [f"{d}: {a:.0f} of {t:.0f} tokens" for d, t, a in zip(domains, mix_.targets, mix_.reached, strict=True)]
+    return f"{', '.join(parts)}; {len(mix_.steps)} steps, residual {mix_.residual:.2g}"
 
 
 def mix(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, domain: Column, weights: dict[str, float], budget: float = 1.0, max_rows: int = 20_000) -> DataFrame:
-    """(key, tokens, p, rate) for every document."""
+    """(key, tokens, p, rate) for every document; the log says how near the totals came."""
     domains = sorted(weights)
     model = fit(docs, key, text, labels, label_key, domain, domains, max_rows)
-    scored = materialise(posteriors(docs, key, text, model, domains), "posteriors")
-    steps, _, _ = fit_rates(scored, domains, weights, budget)
-    return scored.withColumn("rate", rate(steps, len(domains)))
+    scored = materialise(posteriors(docs, key, text, model), "posteriors")
+    found = fit_rates(scored, domains, weights, budget)
+    log.info("mixing: %s", told(found, domains))
+    return scored.withColumn("rate", rate(found.steps))
 
 
 def copies(key: Column, rate_: Column, seed: int = 11) -> Column:

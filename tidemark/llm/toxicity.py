@@ -1,11 +1,13 @@
 """Toxicity by averaged subword-bag embeddings and a linear softmax, trained jointly in numpy.
 
 A word is the mean of the embeddings of its hashed character n-grams, so a misspelling that training never saw shares most of its
-vector with the word it hides. A passage of 16 words is the mean of its words; a linear softmax scores it. A text is as toxic as its
-worst passage, so a few words count in a text of any length. Training first takes every passage with its text's label, then goes on
-with the worst passage of each text alone. Only two classes are told apart, so the softmax is a logistic of the difference.
+vector with the word it hides. A text is the mean of its words, whole and of any length; a linear softmax over two class vectors and
+their biases scores it. Embeddings, class vectors and biases are trained together, by gradient descent with momentum on the
+class-balanced loss. Only n-grams that go with a class in the teaching texts have an embedding: the difference of the texts of either
+class that hold the n-gram from what chance would give must reach `ASSOCIATION` standard deviations. The others stand in no vector
+but count in the mean, so unknown words speak for neither class and dilute the ones that do.
 
-Defined cases: null, empty and wordless texts get the score of an empty passage (the bias); without labels of both classes every
+Defined cases: null, empty and wordless texts are the zero vector, which the biases alone score; without labels of both classes every
 score is 0. Repeated rows count as often as they come. Extra columns don't matter: only key and text are read.
 """
 
@@ -22,18 +24,25 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import split_words, text_slices
 
-ORDERS = (3, 4, 5)
-BUCKETS = 1 << 17
+ORDERS = (3, 4, 5, 6)
+BUCKETS = 1 << 18
 WIDTH = 8
-PASSAGE, STEP = 16, 8
-BIAS = -3.0  # of the softmax; it is not trained, so that n-grams which training never saw speak for a clean text
-MAX_BYTES = 5 << 20  # of training text, for each class
+ASSOCIATION = 3.0  # standard deviations
+MAX_ROWS, MAX_BYTES = 6000, 8 << 20  # of training text, for each class
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    weights: np.ndarray  # of each n-gram bucket: its embedding times the difference of the classes
-    bias: float
+    buckets: np.ndarray  # n-gram buckets that have an embedding
+    embeddings: np.ndarray
+    classes: np.ndarray  # a column for each class: clean, toxic
+    bias: np.ndarray
+
+    def margins(self) -> np.ndarray:
+        """Of each bucket: how much it speaks for toxic rather than clean."""
+        out = np.zeros(BUCKETS)
+        out[self.buckets] = self.embeddings @ (self.classes[:, 1] - self.classes[:, 0])
+        return out
 
 
 def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -53,97 +62,88 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             rolled[:inside] = rolled[:inside] * np.uint64(0x100000001B3) + codes[i:]
         rolled ^= rolled >> np.uint64(29)
         rolled *= np.uint64(0xBF58476D1CE4E5B9)
-        hashes.append((rolled[fits] >> np.uint64(47)).astype(np.int64) % BUCKETS)
+        hashes.append((rolled[fits] >> np.uint64(40)).astype(np.int64) % BUCKETS)
         owners.append(owner[fits])
     owner, flat = np.concatenate(owners), np.concatenate(hashes)
     order = np.argsort(owner, kind="stable")
     return flat[order], np.bincount(owner, minlength=len(words))
 
 
-def _spans(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, end, row) of the passages of all rows; they overlap by half, and every word lies in one."""
-    per_row = np.where(counts > 0, np.maximum(1, -(-(counts - STEP) // STEP)), 0)
-    row = np.repeat(np.arange(len(counts)), per_row)
-    within = np.arange(int(per_row.sum())) - np.repeat(np.cumsum(per_row) - per_row, per_row)
-    base = np.cumsum(counts) - counts
-    first = base[row] + within * STEP
-    return first, np.minimum(first + PASSAGE, base[row] + counts[row]), row
-
-
-def _means(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-    total = np.concatenate(([0.0], np.cumsum(values)))
-    return (total[end] - total[first]) / np.maximum(1, end - first)
-
-
-def _passages(model: ToxicityModel, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _bag(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(n-grams of the distinct words, number in each word, text and word of each pair that occurs, share of the word in the text)."""
     words, flat, counts = split_words(text)
-    if not len(flat):
-        return np.zeros(0), np.zeros(0, np.int64)
     grams, per_word = subwords(words)
-    ends = np.cumsum(per_word)
-    word = _means(model.weights[grams], ends - per_word, ends)
-    first, end, row = _spans(counts)
-    return _means(word[flat], first, end) + model.bias, row
+    row = np.repeat(np.arange(len(counts)), counts)
+    pairs, times = np.unique(row * max(1, len(words)) + flat, return_counts=True)
+    row, word = pairs // max(1, len(words)), pairs % max(1, len(words))
+    return grams, per_word, row, word, times / np.maximum(1, counts)[row]
 
 
-def score_texts(model: ToxicityModel, text: pa.Array) -> np.ndarray:
-    """Probability of each text to be toxic."""
-    worst = np.full(len(text), -np.inf)
-    logit, row = _passages(model, text)
-    np.maximum.at(worst, row, logit)
-    worst = np.where(np.isneginf(worst), model.bias, worst)
-    return 1 / (1 + np.exp(-np.clip(worst, -500, 500)))
+def _logits(margins: np.ndarray, bias: float, grams: np.ndarray, per_word: np.ndarray, row: np.ndarray, word: np.ndarray, share: np.ndarray, rows: int) -> np.ndarray:
+    """Toxic less clean, of each text."""
+    owner = np.repeat(np.arange(len(per_word)), per_word)
+    of_word = np.bincount(owner, weights=margins[grams], minlength=len(per_word)) / np.maximum(1, per_word)
+    return np.bincount(row, weights=of_word[word] * share, minlength=rows) + bias
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = 60, refine: int = 80, rate: float = 0.3, decay: float = 1e-4, seed: int = 5) -> ToxicityModel:
-    """Joint Adam steps on embeddings and class difference over all passages, then over the worst passage of each text."""
+def score_texts(model: ToxicityModel, text: pa.Array, margins: np.ndarray | None = None) -> np.ndarray:
+    """Probability of each text to be toxic."""
+    logit = _logits(model.margins() if margins is None else margins, float(model.bias[1] - model.bias[0]), *_bag(text), len(text))
+    return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
+
+
+def associated(grams: np.ndarray, per_word: np.ndarray, row: np.ndarray, word: np.ndarray, toxic: np.ndarray, least: float) -> np.ndarray:
+    """Buckets whose document frequencies in the classes differ by `least` standard deviations from chance."""
+    starts = np.cumsum(per_word) - per_word
+    seen = np.zeros((2, BUCKETS))
+    step = 64  # texts at once
+    for low in range(0, len(toxic), step):
+        a, b = np.searchsorted(row, [low, low + step])
+        width = per_word[word[a:b]]
+        at = np.repeat(starts[word[a:b]] - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
+        pairs = np.unique(np.repeat(row[a:b], width) * BUCKETS + grams[at])
+        for label in (0, 1):
+            seen[label] += np.bincount(pairs[toxic[pairs // BUCKETS] == label] % BUCKETS, minlength=BUCKETS)
+    share = toxic.mean()
+    expected = seen.sum(axis=0) * share
+    return np.flatnonzero(np.abs(seen[1] - expected) >= least * np.sqrt(expected * (1 - share) + 0.5))
+
+
+def train(texts: list[str], labels: np.ndarray, epochs: int = 200, rate: float = 1.0, momentum: float = 0.9, decay: float = 1e-4, scale: float = 300.0, least: float = ASSOCIATION, seed: int = 5) -> ToxicityModel:
+    """Joint steps on embeddings, class vectors and biases. Means of many words are small, so `scale` stands before them; the model
+    carries it in its class vectors."""
     if len(set(labels.tolist())) < 2:
-        return ToxicityModel(np.zeros(BUCKETS), -500.0)
-    words, flat, counts = split_words(pa.array(texts, pa.large_string()).cast(pa.string()))
-    grams, per_word = subwords(words)
-    used, grams = np.unique(grams, return_inverse=True)
-    grams, flat = grams.astype(np.int32), flat.astype(np.int32)
-    word_end = np.cumsum(per_word)
-    owner = np.repeat(np.arange(len(words), dtype=np.int32), per_word)
-    share = 1.0 / np.maximum(1, per_word)[owner]
-    first, end, row = _spans(counts)
-    size = np.maximum(1, end - first)
+        return ToxicityModel(np.zeros(0, np.int64), np.zeros((0, WIDTH)), np.zeros((WIDTH, 2)), np.array([500.0, -500.0]))
+    grams, per_word, row, word, share = _bag(pa.array(texts, pa.large_string()).cast(pa.string()))
+    kept = associated(grams, per_word, row, word, labels, least)
+    place = np.full(BUCKETS, -1)
+    place[kept] = np.arange(len(kept))
+    owner = np.repeat(np.arange(len(per_word)), per_word)
+    used = place[grams] >= 0
+    gram, owner = place[grams][used], owner[used]
+    weight = scale / np.maximum(1, per_word)[owner]
     y = labels.astype(float)
-    rng = np.random.default_rng(seed)
-    params = {"e": rng.normal(0, 0.1, (len(used), WIDTH)), "u": rng.normal(0, 0.5, WIDTH), "b": np.full(1, BIAS)}
-    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items()}
-    for epoch in range(1, epochs + refine + 1):
-        word = _means((params["e"] @ params["u"])[grams], word_end - per_word, word_end)
-        logit = _means(word[flat], first, end) + params["b"]
-        p = 1 / (1 + np.exp(-np.clip(logit, -60, 60)))
-        if epoch <= epochs:
-            picked = np.ones(len(row), bool)
-        else:  # the worst passage of each text
-            top = np.full(len(texts), -np.inf)
-            np.maximum.at(top, row, logit)
-            worst = np.flatnonzero(logit == top[row])
-            picked = np.zeros(len(row), bool)
-            picked[worst[np.unique(row[worst], return_index=True)[1]]] = True
-        each = np.where(y[row] == 1, 0.5 / max(1, (picked & (y[row] == 1)).sum()), 0.5 / max(1, (picked & (y[row] == 0)).sum()))
-        slope = np.where(picked, (p - y[row]) * each, 0.0)
-        # back through the means: passages to word occurrences, words, n-grams
-        edge = np.zeros(len(flat) + 1)
-        np.add.at(edge, first, slope / size)
-        np.add.at(edge, end, -slope / size)
-        by_word = np.bincount(flat, weights=np.cumsum(edge[:-1]), minlength=len(words))
-        by_gram = np.bincount(grams, weights=by_word[owner] * share, minlength=len(used))
-        slopes = {"e": by_gram[:, None] * params["u"][None, :] + decay * params["e"] / len(used), "u": params["e"].T @ by_gram}
+    each = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
+    start = np.random.default_rng(seed).normal(0, 1, WIDTH)
+    start /= np.linalg.norm(start) * math.sqrt(2)
+    params = {"e": np.zeros((len(kept), WIDTH)), "c": np.stack([-start, start], axis=1), "b": np.zeros(2)}
+    speed = {k: np.zeros_like(v) for k, v in params.items()}
+    for _ in range(epochs):
+        margin = params["e"] @ (params["c"][:, 1] - params["c"][:, 0])
+        of_word = np.bincount(owner, weights=margin[gram] * weight, minlength=len(per_word))
+        logit = np.bincount(row, weights=of_word[word] * share, minlength=len(y)) + params["b"][1] - params["b"][0]
+        slope = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - y) * each  # of the toxic class; the clean one's is its opposite
+        by_word = np.bincount(word, weights=slope[row] * share, minlength=len(per_word))
+        by_gram = np.bincount(gram, weights=by_word[owner] * weight, minlength=len(kept))
+        by_class = np.stack([-by_gram, by_gram], axis=1)
+        slopes = {"e": by_class @ params["c"].T + decay * params["e"], "c": 0.01 * (params["e"].T @ by_class), "b": np.array([-slope.sum(), slope.sum()])}
         for k, g in slopes.items():
-            m, v = moments[k]
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            params[k] -= rate * (0.1 if k == "u" else 1.0) * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.99**epoch)) + 1e-8)
-    weights = np.zeros(BUCKETS)
-    weights[used] = params["e"] @ params["u"]
-    return ToxicityModel(weights, float(params["b"][0]))
+            speed[k] = momentum * speed[k] - rate * g
+            params[k] = params[k] + speed[k]
+    return ToxicityModel(kept, params["e"], params["c"] * scale, params["b"])
 
 
-def sample(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, label: str, max_rows: int = 3000, max_bytes: int = MAX_BYTES) -> tuple[list[str], np.ndarray]:
+def sample(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, label: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> tuple[list[str], np.ndarray]:
     """Whole texts and labels of a bounded sample: about max_rows rows and max_bytes bytes of either class, by a hash of the key."""
     marked = labels.select(F.col(label_key).alias("id"), F.col(label).alias("y")).where("y in (0, 1) and id is not null")
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("text is not null")
@@ -162,9 +162,10 @@ def sample(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: s
 
 def _scorer(model: ToxicityModel) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        margins = model.margins()
         for batch in batches:
             for part in text_slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(score_texts(model, part.column("text")))], names=["id", "score"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(score_texts(model, part.column("text"), margins))], names=["id", "score"])
 
     return run
 
