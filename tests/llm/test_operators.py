@@ -187,6 +187,32 @@ def test_leaks_find_copies_with_replaced_and_inserted_words(spark):
     assert {(r["id"], r["item"]): r["similarity"] for r in found.collect()} == pytest.approx(told)
 
 
+def test_leaks_lose_no_alignment(spark):
+    """Random copies with random edits, repeated rows and equal items, against plain alignment of every text with every item."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([6, 9, 15, 22])))) for i in range(14)]
+    items.append((50, items[0][1]))
+    docs = []
+    for i in range(60):
+        copy = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(copy))
+            copy[k : k + rng.randint(0, 1)] = rng.choice([[], ["new"], [rng.choice(vocabulary)]])
+        docs.append((i, " ".join([*rng.choices(vocabulary, k=rng.randint(0, 25)), *copy, *rng.choices(vocabulary, k=rng.randint(0, 25))])))
+    docs.append(docs[3])
+    told = defaultdict(int)
+    for i, text in docs:
+        for k, item in items:
+            matched, inserted = edits(item.split(), text.split())
+            told[i, k] += matched / (len(item.split()) + inserted) >= 0.8 - 1e-9
+    for block in (20_000, 4):
+        found = defaultdict(int)
+        for r in decontam.leaks(spark.createDataFrame(docs, "id long, text string"), "id", "text", spark.createDataFrame(items, "item long, text string"), "item", "text", block=block).collect():
+            found[r["id"], r["item"]] += 1
+        assert found == {k: n for k, n in told.items() if n}
+
+
 def test_leaks_find_short_items_word_for_word(spark):
     items = [(1, "Alpha"), (2, "beta gamma"), (3, "one two three four"), (4, "?"), (5, None)]
     docs = [(0, "x alpha. y"), (1, "beta, gamma"), (2, "beta x gamma"), (3, "zero one two three four five"), (4, "one two three x four"), (5, "one two three five"), (6, "gamma beta")]
@@ -204,10 +230,27 @@ def test_language_backoff(spark):
     assert len(got) == 126 and all(0 <= s <= 1 for *_, s in got)
     assert sum(lang == ("en" if i % 2 else "de") for i, lang, _ in got if i < 120) >= 119
     assert dict((i, lang) for i, lang, _ in got if i >= 1000) == {1000: "und", 1001: "und", 1002: "und", 1003: "en", 1004: "de"}
-    # a known word takes its own row; an unseen one the longest known order
-    word = next(iter(model.vocabulary))
-    assert langid.score_texts(model, pa.array([word]))[0] == [model.languages[int(np.argmax(model.words[model.vocabulary[word]]))]]
-    assert np.allclose(langid.backoff(model, "thezz"), model.grams[4][[model.gram_rows[4][g] for g in langid.ngrams("thezz", 4) if g in model.gram_rows[4]]].mean(axis=0))
+    # by counting: a known word has its own log frequency; an unseen one the mean of its longest n-grams that occur
+    counts = {n: {x: defaultdict(int) for x in ("de", "en")} for n in (0, 4, 3, 2, 1)}
+    for _, text, lang, _ in rows:
+        for w in words_of(text):
+            counts[0][lang][w] += 1
+            for n in langid.ORDERS:
+                marked = f"^{w}$" if n > 1 else w
+                for i in range(len(marked) - n + 1):
+                    counts[n][lang][marked[i : i + n]] += 1
+
+    def told(n, token):
+        kinds = len(set(counts[n]["de"]) | set(counts[n]["en"]))
+        return [math.log((counts[n][x].get(token, 0) + 0.5) / (sum(counts[n][x].values()) + 0.5 * (kinds + 1))) for x in ("de", "en")]
+
+    assert len(model.keys[0]) == len(set(counts[0]["de"]) | set(counts[0]["en"]))
+    assert np.allclose(langid.word_scores(model, ["nicht", "thezz"]), [told(0, "nicht"), np.mean([told(4, g) for g in ("^the", "thez", "hezz", "ezz$") if any(g in counts[4][x] for x in counts[4])], axis=0)], atol=1e-5)
+    assert np.allclose(langid.word_scores(model, ["qxq"]), 0) or not any(c in counts[1][x] for c in "qx" for x in ("de", "en"))
+    tied = langid.train(spark.createDataFrame([(1, "same", "b"), (2, "same", "a")], "id long, text string, lang string"), "text", "lang", "id")
+    assert langid.score_texts(tied, pa.array(["same"]))[0] == ["a"]
+    many = spark.range(40_000).selectExpr("id", "concat('w', id) AS text", "if(id % 2 = 0, 'a', 'b') AS lang")
+    assert len(langid.train(many, "text", "lang", "id", max_rows=50_000).keys[0]) == 40_000
     empty = langid.train(df.limit(0), "text", "lang", "id")
     assert {r["lang_pred"] for r in langid.identify(df, empty).collect()} == {"und"}
 

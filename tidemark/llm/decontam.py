@@ -17,7 +17,6 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +24,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import split_words, text_slices
+from tidemark.llm.common import materialise, split_words, text_slices
 
 BLOCK = 20_000  # items whose n-grams a task holds at once
 MATCH, MISMATCH, GAP = 2, -1, -1
-_BASE = 1 << 21  # of packed word numbers: three fit into 63 bits
 
 
 @dataclass
@@ -48,20 +46,29 @@ class Items:
     spare: np.ndarray  # words that an item may lose
     broken: np.ndarray  # n-grams that an item may lose
     least: np.ndarray  # similarity that counts
-    seed: np.ndarray | None = None  # of each occurrence: whether it is a seed
+    seeds: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None  # owner and place of the seeds, grouped by code; where a code's begin
+
+    def grams(self, item: int) -> tuple[np.ndarray, np.ndarray]:
+        """(index of the code, place) of an item's n-grams, sorted by code."""
+        codes = _codes(self.words[item], self.n)[: len(self.words[item]) - self.n + 1]
+        index = np.searchsorted(self.codes, codes)
+        order = np.argsort(index, kind="stable")
+        return index[order], order
 
 
 def _codes(words: np.ndarray, n: int) -> np.ndarray:
-    """Packed n-grams at every position; -1 where a word is unknown or the end is near."""
+    """Hashes (63 bits) of the n-grams at every position; -1 where a word is unknown or the end is near. Two n-grams of one hash
+    would only propose more passages; the alignment decides on the words."""
     out = np.full(len(words), -1, np.int64)
     if len(words) < n:
         return out
     m = len(words) - n + 1
-    packed, known = np.zeros(m, np.int64), np.ones(m, bool)
+    rolled, known = np.full(m, n, np.uint64), np.ones(m, bool)
     for i in range(n):
-        packed = packed * _BASE + words[i : i + m]
+        rolled = (rolled ^ words[i : i + m].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        rolled ^= rolled >> np.uint64(29)
         known &= words[i : i + m] >= 0
-    out[:m] = np.where(known, packed, -1)
+    out[:m] = np.where(known, (rolled >> np.uint64(1)).astype(np.int64), -1)
     return out
 
 
@@ -79,8 +86,6 @@ def _gram_size(size: int, n: int, similarity: float) -> int:
 def prepare(rows: list, n: int, similarity: float, min_words: int) -> list[Items]:
     """Items from (id, text) rows, apart by the size of their n-grams."""
     vocab, flat, counts = split_words(pa.array([r[1] for r in rows], pa.string()))
-    if len(vocab) >= _BASE or n > 3:
-        raise ValueError("a block of items has too many distinct words, or n is over 3")
     ends = np.cumsum(counts)
     least = np.where(counts < min_words, 1.0, similarity)
     by_size: dict[int, list[int]] = {}
@@ -108,8 +113,9 @@ def choose_seeds(items: Items, frequency: dict[int, int]) -> None:
     order = np.lexsort((items.place, freq, items.owner))
     starts = np.searchsorted(items.owner[order], np.arange(len(items.ids)))
     rank = np.arange(len(order)) - starts[items.owner[order]]
-    items.seed = np.zeros(len(order), bool)
-    items.seed[order] = rank < items.broken[items.owner[order]] + 1
+    seed = np.zeros(len(order), bool)
+    seed[order] = rank < items.broken[items.owner[order]] + 1
+    items.seeds = items.owner[seed], items.place[seed], np.concatenate(([0], np.cumsum(seed)))[items.first]
 
 
 def _numbered(text: pa.Array, vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -181,26 +187,38 @@ def align(item: np.ndarray, passages: list[np.ndarray]) -> list[tuple[int, int]]
     return [(int(m), int(x)) for m, x in zip(matches, inserted, strict=True)]
 
 
+def _occurrences(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the range, element) of every element of the ranges."""
+    size = stop - first
+    return np.repeat(np.arange(len(size)), size), np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
 def _windows(at: np.ndarray, index: np.ndarray, row: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int]]:
-    """(row, item, first word, end) of the passages that a seed proposes and that hold enough of the item's n-grams."""
-    times = np.diff(items.first)[index]
-    hit = np.repeat(np.arange(len(at)), times)
-    occurrence = np.repeat(items.first[index] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
-    item, place, seed = items.owner[occurrence], items.place[occurrence], items.seed[occurrence]
-    order = np.lexsort((at[hit], item, row[hit]))
-    position, item, place, seed, rows = at[hit][order], item[order], place[order], seed[order], row[hit][order]
-    if not len(rows):
+    """(row, item, first word, end) of the passages that a seed proposes and that hold enough of the item's n-grams. Only seeds are
+    met with the items that they belong to; what else an item has in the row is looked up for the proposed items alone."""
+    owners, places, begin = items.seeds
+    hit, seed = _occurrences(begin[index], begin[index + 1])
+    if not len(hit):
         return
+    order = np.lexsort((at[hit], owners[seed], row[hit]))
+    rows, item, start = row[hit][order], owners[seed][order], (at[hit] - places[seed])[order]
     cuts = np.flatnonzero((np.diff(rows) != 0) | (np.diff(item) != 0)) + 1
+    held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for low, high in zip(np.append(0, cuts), np.append(cuts, len(rows)), strict=True):
         own = int(item[low])
-        if high - low < items.need[own]:
+        if own not in held:
+            held[own] = items.grams(own)
+        code, place_of = held[own]
+        a, b = np.searchsorted(row, [rows[low], rows[low] + 1])  # hits come in order of place, so rows are together
+        near, occurrence = _occurrences(np.searchsorted(code, index[a:b], "left"), np.searchsorted(code, index[a:b], "right"))
+        if len(near) < items.need[own]:
             continue
+        position, place = at[a:b][near], place_of[occurrence]
         size, slack = len(items.words[own]), int(items.spare[own]) * 2 + 2
-        for start in _merged(position[low:high][seed[low:high]] - place[low:high][seed[low:high]], slack):
-            first, end = start[0] - slack, start[1] + size + slack
-            inside = (position[low:high] >= first) & (position[low:high] < end)
-            if len(np.unique(place[low:high][inside])) >= items.need[own]:
+        for begins, ends in _merged(start[low:high], slack):
+            first, end = begins - slack, ends + size + slack
+            inside = (position >= first) & (position < end)
+            if len(np.unique(place[inside])) >= items.need[own]:
                 yield int(rows[low]), own, int(first), int(end)
 
 
@@ -251,15 +269,14 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str,
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
     tests = items.select(F.col(item_key).alias("item"), F.col(item_text).alias("text")).where("item is not null and text is not null")
     kinds = f"id {rows.schema['id'].dataType.simpleString()}, item {tests.schema['item'].dataType.simpleString()}"
-    found = []
+    schema = f"{kinds}, similarity double, first_word long, n_words long"
+    found = docs.sparkSession.createDataFrame([], schema)
     for some in _blocks(tests, block):
         for ready in prepare(some, n, similarity, min_words):
             counted = rows.mapInArrow(_counter(ready), "code long, docs long").groupBy("code").agg(F.sum("docs").alias("docs"))
             choose_seeds(ready, {r["code"]: r["docs"] for r in counted.collect()})  # a row for each n-gram of the block
-            found.append(rows.mapInArrow(_aligner(ready), f"{kinds}, similarity double, first_word long, n_words long"))
-    if not found:
-        return docs.sparkSession.createDataFrame([], f"{kinds}, similarity double, first_word long, n_words long")
-    return reduce(DataFrame.unionByName, found)
+            found = found.unionByName(materialise(rows.mapInArrow(_aligner(ready), schema), "leaks"))  # the block can go
+    return found
 
 
 def _blocks(tests: DataFrame, block: int) -> Iterator[list]:

@@ -11,14 +11,14 @@ language by name. Null labels teach nothing. Extra columns pass through; input c
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,18 +30,36 @@ UND = "und"
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Log frequencies by language: rows of `words` for `vocabulary`, of `grams[n]` for `gram_rows[n]`."""
+    """Sorted token hashes and log frequencies by language, for words (order 0) and the character n-grams of each order."""
 
     languages: list[str]
-    vocabulary: dict[str, int]
-    words: np.ndarray
-    gram_rows: dict[int, dict[str, int]]
-    grams: dict[int, np.ndarray]
+    keys: dict[int, np.ndarray]
+    logs: dict[int, np.ndarray]
 
+    def rows(self, order: int, hashes: np.ndarray) -> np.ndarray:
+        """Row of each hash in the order's table; -1 if unknown."""
+        known = self.keys[order]
+        at = np.searchsorted(known, hashes)
+        return np.where(known[np.minimum(at, len(known) - 1)] == hashes, at, -1) if len(known) else np.full(len(hashes), -1)
 
-def ngrams(word: str, n: int) -> list[str]:
-    marked = f"^{word}$" if n > 1 else word
-    return [marked[i : i + n] for i in range(max(0, len(marked) - n + 1))]
+
+def hashed(words: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64).view(np.int64)
+
+
+def ngrams(words: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the character n-grams of all words, number in each word); above single characters a word's ends are characters."""
+    marked = [f"^{w}$" for w in words] if n > 1 else words
+    sizes = np.array([len(w) for w in marked], np.int64)
+    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    starts = np.arange(len(codes))
+    fits = starts + n <= np.repeat(np.cumsum(sizes), sizes)
+    rolled = np.full(len(codes), n, np.uint64)
+    for i in range(n):
+        inside = max(0, len(codes) - i)
+        rolled[:inside] = (rolled[:inside] ^ codes[i:]) * np.uint64(0x9E3779B97F4A7C15)
+        rolled ^= rolled >> np.uint64(29)
+    return rolled[fits].view(np.int64), np.maximum(0, sizes - n + 1)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,69 +71,63 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for lang in sorted(set(langs)):
                 mine = np.array([x == lang for x in langs])
                 seen = np.bincount(flat[mine[owner]], minlength=len(words))
-                out: dict[tuple[int, str], int] = {(0, words[i]): int(seen[i]) for i in np.flatnonzero(seen)}
-                for n in ORDERS:
-                    grams: Counter[str] = Counter()
-                    for i in np.flatnonzero(seen):
-                        for gram in ngrams(words[i], n):
-                            grams[gram] += int(seen[i])
-                    out |= {(n, g): c for g, c in grams.items()}
-                keys = list(out)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(keys)), pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys]), pa.array(list(out.values()), pa.int64())],
-                    names=["lang", "n", "token", "hits"],
-                )
-
-
-def train(rows: DataFrame, text: str, lang: str, key: str, max_rows: int = 12_000, vocabulary: int = 30_000, smoothing: float = 0.5) -> LanguageModel:
-    """Fit on a bounded sample: about max_rows labelled rows, chosen by a hash of the key, and the commonest `vocabulary` tokens
-    of each order and language."""
+                own = np.flatnonzero(seen)
+                some = [words[i] for i in own]
+                for n in (0, *ORDERS):
+                    keys, widths = (hashed(some), np.ones(len(some), np.int64)) if n == 0 else ngrams(some, n)
+                    tokens, at = np.unique(keys, return_inverse=True)
+                    hits = np.bincount(at, weights=np.repeat(seen[own], widths), minlength=len(tokens)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(tokens), pa.string()), pa.array(np.full(len(tokens), n), pa.int32()), pa.array(tokens), pa.array(hits)], names=["lang", "n", "token", "hits"])
+
+
+def train(rows: DataFrame, text: str, lang: str, key: str, max_rows: int = 12_000, max_bytes: int = 32 << 20, smoothing: float = 0.5) -> LanguageModel:
+    """Fit on every token of a bounded sample: about max_rows labelled rows and max_bytes bytes of text, chosen by a hash of the key."""
     known = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(key).cast("string")).alias("h")).where("lang is not null and text is not null")
-    total = known.select("lang").count()
-    if total > max_rows:
-        known = known.where(F.pmod("h", F.lit(1 << 20)) < math.ceil((1 << 20) * max_rows / total))
-    counted = known.select("text", "lang").mapInArrow(_count, "lang string, n int, token string, hits long").groupBy("lang", "n", "token").agg(F.sum("hits").alias("hits"))
-    # one bounded top list per language and order; the pairs are few and the counts are already summed by token
-    ranked = counted.groupBy("lang", "n").agg(F.sum("hits").alias("total"), F.count("*").alias("kinds")).collect()
-    totals = {(r["lang"], r["n"]): (r["total"], r["kinds"]) for r in ranked}
-    languages = sorted({lang for lang, _ in totals})
-    if not languages:
-        return LanguageModel([], {}, np.zeros((0, 0)), {n: {} for n in ORDERS}, {n: np.zeros((0, 0)) for n in ORDERS})
-    best = counted.withColumn("place", F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("hits"), "token"))).where(F.col("place") <= vocabulary).collect()
-    at = {x: i for i, x in enumerate(languages)}
-    tables: dict[int, dict[str, np.ndarray]] = {n: {} for n in (0, *ORDERS)}
-    for r in best:
-        tables[r["n"]].setdefault(r["token"], np.zeros(len(languages)))[at[r["lang"]]] = r["hits"]
-    rows_of, logs = {}, {}
-    for n, table in tables.items():
-        tokens = sorted(table)
-        hits = np.array([table[t] for t in tokens]).reshape(len(tokens), len(languages))
-        below = np.array([totals.get((x, n), (0, 0))[0] + smoothing * (len(tokens) + 1) for x in languages])
-        rows_of[n], logs[n] = {t: i for i, t in enumerate(tokens)}, np.log((hits + smoothing) / below)
-    return LanguageModel(languages, rows_of[0], logs[0], {n: rows_of[n] for n in ORDERS}, {n: logs[n] for n in ORDERS})
-
-
-def backoff(model: LanguageModel, word: str) -> np.ndarray:
-    """Log frequencies by language of a word that is not in the vocabulary."""
+    size = known.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    share = min(1.0, max_rows / max(1, size["n"]), max_bytes / max(1, size["bytes"] or 0))
+    if share < 1:
+        known = known.where(F.pmod("h", F.lit(1 << 20)) < math.ceil((1 << 20) * share))
+    counted = known.select("text", "lang").mapInArrow(_count, "lang string, n int, token long, hits long").groupBy("lang", "n", "token").agg(F.sum("hits").alias("hits")).toArrow()
+    languages = sorted(set(pc.unique(counted["lang"]).to_pylist()))
+    of_lang = pc.index_in(counted["lang"], pa.array(languages, pa.string())).to_numpy()
+    order, token, hits = (counted[c].to_numpy() for c in ("n", "token", "hits"))
+    keys, logs = {}, {}
+    for n in (0, *ORDERS):
+        mine = order == n
+        keys[n], at = np.unique(token[mine], return_inverse=True)
+        table = np.zeros((len(keys[n]), len(languages)))
+        table[at, of_lang[mine]] = hits[mine]
+        logs[n] = np.log((table + smoothing) / (table.sum(axis=0) + smoothing * (len(table) + 1))).astype(np.float32)
+    return LanguageModel(languages, keys, logs)
+
+
+def word_scores(model: LanguageModel, words: list[str]) -> np.ndarray:
+    """Log frequencies by language of each word: its own if it is known, else the mean of its longest known n-grams."""
+    table = np.zeros((len(words), len(model.languages)))
+    at = model.rows(0, hashed(words))
+    table[at >= 0] = model.logs[0][at[at >= 0]]
+    left = np.flatnonzero(at < 0)
     for n in ORDERS:
-        at = [i for g in ngrams(word, n) if (i := model.gram_rows[n].get(g)) is not None]
-        if at:
-            return model.grams[n][at].mean(axis=0)
-    return np.zeros(len(model.languages))
+        grams, widths = ngrams([words[i] for i in left], n)
+        row = model.rows(n, grams)
+        owner = np.repeat(np.arange(len(left)), widths)[row >= 0]
+        found = np.bincount(owner, minlength=len(left))
+        for j in range(len(model.languages)):
+            sums = np.bincount(owner, weights=model.logs[n][row[row >= 0], j], minlength=len(left))
+            table[left, j] = sums / np.maximum(1, found)
+        left = left[found == 0]
+    return table
 
 
 def score_texts(model: LanguageModel, text: pa.Array) -> tuple[list[str], np.ndarray]:
     """Language and posterior of each text."""
+    if not model.languages:
+        return [UND] * len(text), np.zeros(len(text))
     words, flat, counts = split_words(text)
-    table = np.zeros((len(words), len(model.languages)))
-    for i, word in enumerate(words):
-        row = model.vocabulary.get(word)
-        table[i] = model.words[row] if row is not None else backoff(model, word)
+    table = word_scores(model, words)
     owner = np.repeat(np.arange(len(text)), counts)
-    sums = np.stack([np.bincount(owner, weights=table[flat, j], minlength=len(text)) for j in range(len(model.languages))], axis=1) if model.languages else np.zeros((len(text), 0))
+    sums = np.stack([np.bincount(owner, weights=table[flat, j], minlength=len(text)) for j in range(len(model.languages))], axis=1)
     letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-    if not model.languages:
-        return [UND] * len(text), np.zeros(len(text))
     odds = np.exp(sums - sums.max(axis=1, keepdims=True))
     best = np.argmax(sums, axis=1)
     posterior = np.where(letters, (odds / odds.sum(axis=1, keepdims=True))[np.arange(len(text)), best], 0.0)
