@@ -15,13 +15,14 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import materialise
+
 QUERY_BLOCK = 16_384
 TILE = 2048
 
@@ -108,13 +109,18 @@ def _searcher(ids: np.ndarray, vectors: np.ndarray, k: int) -> Callable[[Iterato
     return run
 
 
+_FOUND = "query_id long, vec_id long, score double"
+
+
 def nearest(rows: DataFrame, key: str, vector: str, queries: Column, k: int = 20, block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products of every row for which `queries` holds with all other rows."""
     chosen = F.coalesce(queries, F.lit(False)).alias("chosen")
     base = rows.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"), chosen).where(F.col("id").isNotNull() & usable(F.col("vector")))
     asked = base.where("chosen").select("id", "vector").distinct()
     few = base.select("id", "vector").distinct().withColumn("copy", F.row_number().over(Window.partitionBy("vector").orderBy("id"))).where(F.col("copy") <= k + 1).select("id", "vector")
-    found = []
+    few = materialise(few, "candidates")
+    asked = materialise(asked, "queries")
+    found = rows.sparkSession.createDataFrame([], _FOUND)
     for width, n in sorted((r["width"], r["n"]) for r in asked.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n")).collect()):
         blocks = -(-n // block)
         same = few.where(F.size("vector") == width)
@@ -122,8 +128,6 @@ def nearest(rows: DataFrame, key: str, vector: str, queries: Column, k: int = 20
             some = asked.where((F.size("vector") == width) & (F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)).toArrow()  # a block of bounded size
             if some.num_rows:
                 ids, vectors = some["id"].to_numpy(), _matrix(some["vector"].combine_chunks(), width)
-                found.append(same.mapInArrow(_searcher(ids, vectors, k), "query_id long, vec_id long, score double"))
-    if not found:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+                found = found.unionByName(materialise(same.mapInArrow(_searcher(ids, vectors, k), _FOUND), "nearest"))  # the block can go
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

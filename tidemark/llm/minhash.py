@@ -1,9 +1,11 @@
 """Jaccard join on word n-grams by MinHash banding.
 
 Every text becomes the set of its word 5-grams (a text of one to four words is one gram). Texts with equal sets form one node, so
-copies are never paired. Nodes that share a band hash are candidates: a star to the smallest node of each bucket joins them, and
-the connected candidates are verified on their full sets, block against block, inside tasks that hold a bounded number of sets.
-A task returns link counts and a spanning forest of the verified links, never the pairs.
+copies are never paired. Nodes that share a band hash are candidates: a star to the smallest node of each bucket joins them. A
+component of candidates is one block, or, beyond BLOCK nodes, several: nodes that hang on the same smallest lead go together, and a
+lead with many nodes is split. Blocks that share a band meet, and are verified on full sets inside tasks that hold two blocks.
+A task returns link counts and a spanning forest of the verified links, never the pairs. Exact counts of links inside a group of m
+different texts that all share a band take (m / BLOCK) ** 2 / 2 such tasks; blocks without a common band never meet.
 
 Bands and rows come from the target recall: the fewest false candidates under the budget of hash functions.
 
@@ -21,11 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import groups, materialise, split_words, text_slices
+from tidemark.llm.common import discard, groups, materialise, split_words, text_slices
 from tidemark.llm.components import components
 
 BLOCK = 256  # sets on either side of a verification task
 HASHES = 256  # budget of hash functions
+SMALL = 100_000  # rows of a table of three numbers that may be broadcast
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -109,7 +112,7 @@ def _setter(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
                 ends = np.cumsum(made)
                 sets = [np.unique(grams[e - m : e]).tobytes() for e, m in zip(ends, made, strict=True)]
                 same = np.array([xxhash.xxh3_128_digest(s) == k for s, k in zip(sets, part.column("node").to_pylist(), strict=True)], bool)
-                out = pa.RecordBatch.from_arrays([part.column("node"), part.column("comp"), part.column("copies"), part.column("blocks"), pa.array(sets, pa.binary())], names=["node", "comp", "copies", "blocks", "grams"])
+                out = pa.RecordBatch.from_arrays([part.column("node"), part.column("comp"), part.column("copies"), part.column("own"), pa.array(sets, pa.binary())], names=["node", "comp", "copies", "own", "grams"])
                 yield out.filter(pa.array(same))
 
     return run
@@ -199,36 +202,59 @@ def jaccard_classes(docs: DataFrame, key: str, text: str, n: int = 5, threshold:
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     bands, per_band = banding(threshold, recall)
     signed = materialise(rows.where("id is not null and text is not null").mapInArrow(_signer(n, bands, per_band), f"id {rows.schema['id'].dataType.simpleString()}, node binary, size int, bands array<bigint>"), "signed")
-    nodes = signed.groupBy("node").agg(F.min("id").alias("first_id"), F.count("*").alias("copies"))
+    # one row for each node from here on, however many copies it has
+    nodes = materialise(signed.groupBy("node").agg(F.min("id").alias("first_id"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "nodes")
 
     # candidates: a star in each bucket
-    hashed = signed.select("node", F.explode("bands").alias("band"))
+    hashed = nodes.select("node", F.explode("bands").alias("band"))
     buckets = hashed.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last").select("band", "lead")
     stars = hashed.join(buckets, "band").where("node <> lead").select("node", "lead").distinct()
     # each node hangs on the smallest of its leads, and its other leads on that one: few leads make few distinct pairs
-    hung = stars.withColumn("least", F.min("lead").over(Window.partitionBy("node")))  # a row for each band at most
+    hung = materialise(stars.withColumn("least", F.min("lead").over(Window.partitionBy("node"))), "hung")  # a row for each band at most
     candidates = components(hung.select("node", "least").union(hung.select("lead", "least")).distinct(), "node", "least")
-
-    # each candidate meets every block of its component
-    sizes = candidates.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = candidates.join(sizes, "label").join(nodes, "node").select("node", F.col("label").alias("comp"), "blocks", "copies", "first_id")
-    texts = members.join(rows, members["first_id"] == rows["id"]).select("node", "comp", "copies", "blocks", "text")
-    sets = texts.mapInArrow(_setter(n), "node binary, comp binary, copies bigint, blocks int, grams binary").dropDuplicates(["node"])
-    own = sets.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    met = own.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members, meets = _blocks(candidates, hung.select("node", "least").distinct(), nodes)
+
+    # every node meets the blocks that share a band with its own
+    found = members.join(nodes.select("node", "copies", "first_id"), "node")
+    texts = found.join(rows, found["first_id"] == rows["id"]).select("node", "comp", "copies", "own", "text")
+    sets = texts.mapInArrow(_setter(n), "node binary, comp binary, copies bigint, own int, grams binary").dropDuplicates(["node"])
+    pairs = meets.select("comp", F.col("a").alias("own"), F.col("b").alias("met")).union(meets.where("a <> b").select("comp", "b", "a"))
+    met = sets.join(pairs, ["comp", "own"], "left").withColumn("met", F.coalesce("met", "own"))
     dealt = met.select("comp", F.least("own", "met").alias("lo"), F.greatest("own", "met").alias("hi"), "own", "node", "copies", "grams")
     verified = materialise(dealt.repartition("comp", "lo", "hi").sortWithinPartitions("comp", "lo", "hi").mapInArrow(_verifier(threshold), "node binary, other binary, links bigint"), "links")
+    discard(hung)
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = components(verified.where("other is not null"), "node", "other")
-    first = classes.join(nodes, "node").groupBy("label").agg(F.min("first_id").alias("class_id"))
-    named = classes.join(first, "label").select("node", "class_id")
-    info = nodes.join(named, "node", "left").join(links, "node", "left").select("node", F.coalesce("class_id", "first_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    # the vertices of the components are (smallest id, node), so that a component's label carries its class id
+    named = nodes.select("node", F.struct("first_id", "node").alias("vertex"))
+    edges = verified.where("other is not null").join(named, "node").select("other", F.col("vertex").alias("u"))
+    edges = edges.join(named, edges["other"] == named["node"]).select("u", F.col("vertex").alias("v"))
+    classes = components(edges, "u", "v").select(F.col("node")["node"].alias("node"), F.col("label")["first_id"].alias("class_id"))
+    info = nodes.select("node", "first_id", "copies").join(classes, "node", "left").join(links, "node", "left")
+    info = info.select("node", F.coalesce("class_id", "first_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     linked = signed.select("id", "node").join(info, "node").select("id", "class_id", "n_links")
     # rows without grams come back alone
     bare = rows.where("id is null or text is null").select("id").unionByName(_wordless(rows))
     return linked.unionByName(bare.select("id", F.col("id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links")))
 
 
+def _blocks(candidates: DataFrame, least: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((node, comp, own) of every candidate, (comp, a, b) for the blocks a <= b of a component that share a band). A component of one
+    block has no row in the second table."""
+    big = materialise(candidates.groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("label", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "large")
+    few = F.broadcast(big) if big.count() <= SMALL else big
+    tagged = candidates.join(few, "label", "left")
+    small = tagged.where("blocks is null").select("node", F.col("label").alias("comp"), F.lit(0).alias("own"))
+    large = tagged.where("blocks is not null").join(least, "node", "left").withColumn("least", F.coalesce("least", "node"))
+    # a lead's nodes go to one block, or are dealt over as many as they fill
+    sizes = large.groupBy("least").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    spread = F.xxhash64("least") + F.pmod(F.xxhash64("node"), F.col("parts"))
+    dealt = materialise(large.join(sizes, "least").select("node", F.col("label").alias("comp"), F.pmod(spread, F.col("blocks")).cast("int").alias("own")), "blocks")
+    at = dealt.join(nodes.select("node", "bands"), "node").select("comp", "own", F.explode("bands").alias("band")).distinct()
+    left, right = at.withColumnRenamed("own", "a"), at.withColumnRenamed("own", "b")
+    meets = left.join(right, ["comp", "band"]).where("a <= b").select("comp", "a", "b").distinct()
+    return small.unionByName(dealt), materialise(meets, "meets")
+
+
 def _wordless(rows: DataFrame) -> DataFrame:
     """Ids of the non-null texts that have no word."""
     return rows.where(F.col("id").isNotNull() & F.col("text").isNotNull() & ~F.col("text").rlike(r"[\p{L}\p{M}\p{N}]")).select("id")
