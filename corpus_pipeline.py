@@ -31,10 +31,12 @@ def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     that repeat an id and text are kept once."""
     rows = numbered(docs)
     classes = minhash.jaccard_classes(rows, ROW, "text").select(F.col("id").alias(ROW), "class_id")
-    named = rows.select(ROW, "doc_id").join(classes, ROW)
-    first = named.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW].alias(ROW))
-    kept = rows.join(first, ROW, "left_semi").withColumn("__alone", F.when(F.col("doc_id").isNull(), F.col(ROW)))
-    return kept.dropDuplicates(["doc_id", "text", "__alone"]).select(*docs.columns)
+    # a wordless row is alone in its class; those with an id are known by id and digest instead
+    bare = F.coalesce(~F.col("text").rlike(r"[\p{L}\p{M}\p{N}]"), F.lit(True)) & F.col("doc_id").isNotNull()
+    facts = rows.select(ROW, "doc_id", F.when(bare, F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))).alias("digest"))
+    named = facts.join(classes, ROW).withColumn("class_id", F.when(F.col("digest").isNull(), F.col("class_id"))).withColumn("own", F.when(F.col("digest").isNotNull(), F.col("doc_id")))
+    first = named.groupBy("class_id", "own", "digest").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW].alias(ROW))
+    return rows.join(first, ROW, "left_semi").select(*docs.columns)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,6 +59,29 @@ def test_chat_round_trip(spark):
         chat.parse("junk")
 
 
+def test_chat_takes_int_ids_and_long_texts(spark, monkeypatch):
+    rows = [(1, 0, "user", "x" * 50), (1, 1, "assistant", "é<s>" * 40)]
+    turns = spark.createDataFrame(rows, "c int, t int, r string, x string").coalesce(1)
+    [got] = chat.read_back(chat.format_turns(turns, "c", "t", "r", "x")).collect()
+    assert (got["conv"], got["n_turns"], got["loss_chars"]) == (1, 2, 160)
+    role, text = pa.array(["user", "a", ""]), pa.array(["é" * 500, "", "z" * 90])
+    whole = chat.assemble(role, text)[0].to_pylist()
+    monkeypatch.setattr(chat, "STEP", 64)  # a text is longer than one scatter
+    assert chat.assemble(role, text)[0].to_pylist() == whole
+
+
+def test_texts_longer_than_a_slice(monkeypatch):
+    from tidemark.llm import common
+
+    texts = ["a b c d e f", None, "x " * 300, "", "a b c d e f"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(5)), "text": texts})
+    parts = list(common.text_slices(batch, "text", 10))
+    assert [x for p in parts for x in p["id"].to_pylist()] == list(range(5)) and len(parts) > 2
+    whole = minhash.shingles(batch["text"], 5)
+    cut = [minhash.shingles(p["text"], 5) for p in parts]
+    assert np.array_equal(np.concatenate([g for g, _ in cut]), whole[0]) and np.array_equal(np.concatenate([m for _, m in cut]), whole[1])
+
+
 def test_conversations_begin_with_their_marker(spark):
     rows = [(c, t, "assistant" if t % 2 == c else "user", f"<s>é{t}") for c in (0, 1) for t in range(3)] + [(None, 0, "assistant", "n"), (None, 1, None, None)]
     segments = chat.format_turns(spark.createDataFrame(rows, "c long, t long, r string, x string"), "c", "t", "r", "x")
@@ -94,6 +117,38 @@ def test_shards_are_runs_of_equal_counts(spark):
     assert hilbert.order_and_cut(df.limit(0), "id", [hilbert.Dimension("kind")], 9).count() == 0
 
 
+def test_slots_are_the_same_every_time(spark):
+    rows = [(None, f"t{i}", 1, 1, 1) for i in range(30)] + [(7, f"u{i % 5}", 2, 2, 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, text string, cell int, bucket int, row int")
+    cut = lambda d: sorted(map(tuple, hilbert.order_and_cut(d, "id", [hilbert.Dimension("cell")], 7).collect()), key=str)
+    assert cut(df) == cut(df.repartition(3, "text")) and {r[2:5] for r in cut(df)} == {(1, 1, 1), (2, 2, 2)}
+
+
+def test_shard_files_are_pruned(spark, tmp_path):
+    """Files whose statistics leave a value open, along the curve and in the order of ids."""
+    import pyarrow.parquet as pq
+
+    dims = [hilbert.Dimension("a", "range", 0, 16), hilbert.Dimension("b", "range", 0, 16)]
+    df = spark.createDataFrame([(i, RNG.randrange(16), RNG.randrange(16)) for i in range(2000)], "id long, a int, b int")
+    hilbert.write_shards(hilbert.order_and_cut(df, "id", dims, 4), f"file://{tmp_path}/curve", 32)
+    df.repartitionByRange(32, "id").write.parquet(f"file://{tmp_path}/ids")
+
+    def met(folder):
+        share = []
+        for column in ("a", "b"):
+            bounds = []
+            for path in (tmp_path / folder).rglob("*.parquet"):
+                meta = pq.ParquetFile(path).metadata
+                at = next(i for i in range(meta.num_columns) if meta.schema.column(i).name == column)
+                own = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+                bounds.append((min(s.min for s in own), max(s.max for s in own)))
+            share.append(np.mean([low <= v <= high for v in range(16) for low, high in bounds]))
+        return share
+
+    assert max(met("curve")) < 0.5 < 0.9 < min(met("ids"))
+    assert spark.read.parquet(f"file://{tmp_path}/curve").count() == 2000
+
+
 # 3
 @pytest.mark.parametrize(("chunk", "least"), [(16, 0), (1 << 16, 30)])
 def test_warc_round_trip(spark, tmp_path, chunk, least):
@@ -113,6 +168,29 @@ def test_warc_round_trip(spark, tmp_path, chunk, least):
         assert (r["record_type"], r["refers_to"]) == (("response", None) if first else ("revisit", str(last[data])))
 
 
+def test_warc_ids_are_unique_and_referred_to(spark, tmp_path):
+    body = "ab" + "é" * 40  # 17-byte chunks end inside a letter
+    rows = [(1, body), (2, body), (3, "other"), (4, body), (4, body), (5, "twice"), (6, "twice"), (None, "none"), (None, "none"), (None, "other"), (7, None), (8, None)]
+    path = f"file://{tmp_path}/w"
+    warc.write_archive(spark.createDataFrame(rows, "id long, html string").withColumn("url", F.lit("u")).repartition(3), "id", "url", "html", path, chunk=17)
+    heads = [h for f in sorted((tmp_path / "w").glob("*.gz")) for h, _ in warc.parse(warc.inflate(f.read_bytes()))]
+    ids = [h["WARC-Record-ID"] for h in heads]
+    assert len(ids) == len(set(ids))
+    by_id = {h["WARC-Record-ID"]: h for h in heads}
+    revisits = [h for h in heads if h["WARC-Type"] == "revisit"]
+    assert sorted(h["X-Key"] for h in revisits if "X-Key" in h) == ["1", "2", "5", "7"]
+    for h in revisits:
+        if h["X-Refers-To-Key"] != "4":  # the largest key repeats
+            target = by_id[h["WARC-Refers-To"]]
+            assert (target["WARC-Type"], target["X-Key"], target["WARC-Payload-Digest"]) == ("response", h["X-Refers-To-Key"], h["WARC-Payload-Digest"])
+    got = sorted(((r["key"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.read_records(spark, path).collect()), key=str)
+    size = len(body.encode())
+    told = [("1", "revisit", "4", size), ("2", "revisit", "4", size), ("3", "response", None, 5), ("4", "response", None, size), ("4", "response", None, size), ("5", "revisit", "6", 5), ("6", "response", None, 5), ("7", "revisit", "8", 0), ("8", "response", None, 0), (None, "response", None, 4), (None, "response", None, 4), (None, "revisit", "3", 5)]
+    assert got == sorted(told, key=str)
+    warc.write_archive(spark.createDataFrame([], "id long, html string, url string"), "id", "url", "html", f"{path}0")
+    assert warc.read_records(spark, f"{path}0").count() == 0
+
+
 def test_warc_chunks_carry_digests():
     got = list(warc.chunks(b"abcdefg", 3))
     assert [(n, bytes(p), last) for n, p, _, last in got] == [(1, b"abc", False), (2, b"def", False), (3, b"g", True)]
@@ -365,7 +443,7 @@ def test_banding_reaches_its_recall():
 # 9
 @pytest.mark.parametrize("least", [1, 4])
 def test_line_runs_match_brute_force(spark, least):
-    lines = ["a", "b", "c d", "e f g", "", "h i", "unique"]
+    lines = ["a", "b", "c\td", " e f  g", "", "h i ", "unique"]
     rows = [(i, "\n".join(RNG.choice(lines) + (str(RNG.random()) if RNG.random() < 0.1 else "") for _ in range(RNG.randint(1, 14)))) for i in range(40)] + [(90, None), (91, "")]
     cut = [t.split("\n") if t is not None else [] for _, t in rows]
     gone = [set() for _ in rows]
@@ -381,7 +459,7 @@ def test_line_runs_match_brute_force(spark, least):
             if best and sum(len(x.split()) for x in own[k : k + best]) >= least:
                 gone[i].update(range(k, k + best))
             at[line].append((i, k))
-    df = spark.createDataFrame(rows, "id long, text string").withColumn("n_lines", F.lit(-1)).withColumn("line", F.lit("x"))
+    df = spark.createDataFrame(rows, "id long, text string").withColumns({"n_lines": F.lit(-1), "line": F.lit("x"), "uid": F.lit(1), "runs": F.lit(2), "row": F.lit(3)})
     got = {r["id"]: r for r in linededup.remove_repeated_runs(df, "id", "text", least).collect()}
     assert len(got) == len(rows) and sum(map(len, gone)) > 0
     for (k, t), own, out in zip(rows, cut, gone, strict=True):

@@ -29,6 +29,7 @@ from tidemark.llm.common import text_slices
 # fixed values: the control strings of the template
 START, OPEN, CLOSE, END = "<s>", "[INST]", "[/INST]", "</s>"
 CONTROL = (START, END, OPEN, CLOSE)
+STEP = 1 << 20  # bytes that one scatter moves
 TRAINED = "assistant"
 _SEGMENT = re.compile(re.escape(OPEN) + "(.*?)" + re.escape(CLOSE) + "(.*?)" + re.escape(END), re.DOTALL)
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
@@ -54,10 +55,19 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _copy(out: np.ndarray, starts: np.ndarray, offsets: np.ndarray, data: np.ndarray) -> None:
-    """Scatter every value of a column to its place in the buffer."""
-    sizes = np.diff(offsets)
-    within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out[np.repeat(starts, sizes) + within] = data[np.repeat(offsets[:-1], sizes) + within]
+    """Scatter every value of a column to its place in the buffer. Index arrays cover STEP bytes at most; a longer value is one run."""
+    sizes, first = np.diff(offsets), 0
+    ends = np.cumsum(sizes)
+    while first < len(sizes):
+        base = ends[first - 1] if first else 0
+        stop = max(first + 1, int(np.searchsorted(ends, base + STEP, side="right")))
+        if sizes[first] > STEP:
+            out[starts[first] : starts[first] + sizes[first]] = data[offsets[first] : offsets[first + 1]]
+        else:
+            some = sizes[first:stop]
+            within = np.arange(int(some.sum())) - np.repeat(np.cumsum(some) - some, some)
+            out[np.repeat(starts[first:stop], some) + within] = data[np.repeat(offsets[first:stop], some) + within]
+        first = stop
 
 
 def assemble(role: pa.Array, text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -130,12 +140,15 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digests of sorted segments; one conversation is open at a time, whatever its length."""
     state: dict | None = None
     done: list[dict] = []
+    kinds = [("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
+    schema = pa.schema([("conv", pa.null()), *kinds])
 
     def close() -> None:
         if state:
             done.append({k: v.hexdigest() if k.endswith("sha256") else v for k, v in state.items()})
 
     for batch in batches:
+        schema = pa.schema([("conv", batch.schema.field("conv").type), *kinds])
         for conv, segment, start, size in zip(*(batch.column(c).to_pylist() for c in ("conv", "segment", "loss_start", "loss_bytes")), strict=True):
             if state is None or state["conv"] != conv:
                 close()
@@ -153,11 +166,11 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             state["loss_sha256"].update(loss.encode())
             state["formatted_chars"] += len(segment)
         if done:
-            yield pa.RecordBatch.from_pylist(done, schema=pa.schema([("conv", batch.schema.field("conv").type), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]))
+            yield pa.RecordBatch.from_pylist(done, schema=schema)
             done = []
     close()
     if done:
-        yield pa.RecordBatch.from_pylist(done)
+        yield pa.RecordBatch.from_pylist(done, schema=schema)
 
 
 def read_back(segments: DataFrame) -> DataFrame:

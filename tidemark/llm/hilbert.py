@@ -6,8 +6,8 @@ counts: rows in cells before its own (a table of at most 2 ** (bits * dimensions
 own, and its place in that bucket; so a cell with a third of all rows is still ranked in small groups.
 
 Defined cases: a null dimension is coordinate 0, a null or empty text has size 16, a null key is a key like any other; rows that
-repeat an id share a bucket and get different slots. An empty table gives an empty result. Input columns named like the outputs
-(place, shard, slot) are replaced; all others pass through.
+repeat an id, null ones included, are told apart by a hash of all their columns, so that slots don't change from run to run. An empty
+table gives an empty result. Input columns named like the outputs (place, shard, slot) are replaced; all others pass through.
 """
 
 from __future__ import annotations
@@ -95,23 +95,28 @@ def order_and_cut(rows: DataFrame, key: str, dimensions: list[Dimension], shards
     total = base.count()
     buckets = max(1, -(-total // BUCKET_ROWS))
     packed = reduce(lambda acc, d: acc * (1 << bits) + quantise(d, bits), dimensions, F.lit(0).cast("long"))
-    tagged = base.withColumns({"__cell": packed, "__bucket": F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")})
-    counts = tagged.groupBy("__cell", "__bucket").agg(F.count("*").alias("__n"))
+    # the row travels as one struct, so that no column of it can clash
+    tie = F.xxhash64(*(F.col(f"`{c}`") for c in base.columns))
+    tagged = base.select(F.struct(*(F.col(f"`{c}`") for c in base.columns)).alias("row"), F.col(key).alias("key"), packed.alias("cell"), tie.alias("tie"))
+    tagged = tagged.withColumn("bucket", F.pmod(F.xxhash64("key", "tie"), F.lit(buckets)).cast("int"))
+    counts = tagged.groupBy("cell", "bucket").agg(F.count("*").alias("n"))
     top = len(dimensions) - 1
-    axes = [F.shiftright("__cell", bits * (top - i)).bitwiseAND((1 << bits) - 1) for i in range(top + 1)]
-    cells = counts.groupBy("__cell").agg(F.sum("__n").alias("__in_cell")).withColumn("__index", curve_index(axes, bits))
-    cells = cells.withColumn("__cell_start", F.sum("__in_cell").over(Window.orderBy("__index")) - F.col("__in_cell")).select("__cell", "__cell_start")
-    within = Window.partitionBy("__cell").orderBy("__bucket")
-    starts = counts.withColumn("__before", F.sum("__n").over(within) - F.col("__n")).join(F.broadcast(cells), "__cell")  # at most 2 ** (bits * dimensions) cells
-    starts = starts.select("__cell", "__bucket", (F.col("__before") + F.col("__cell_start")).alias("__start"))
-    ranked = tagged.withColumn("__rank", F.row_number().over(Window.partitionBy("__cell", "__bucket").orderBy(F.xxhash64(F.col(key)), F.col(key))))
-    placed = ranked.join(starts, ["__cell", "__bucket"]).withColumn("place", F.col("__start") + F.col("__rank") - 1)
+    axes = [F.shiftright("cell", bits * (top - i)).bitwiseAND((1 << bits) - 1) for i in range(top + 1)]
+    cells = counts.groupBy("cell").agg(F.sum("n").alias("in_cell")).withColumn("index", curve_index(axes, bits))
+    cells = cells.withColumn("cell_start", F.sum("in_cell").over(Window.orderBy("index")) - F.col("in_cell")).select("cell", "cell_start")
+    within = Window.partitionBy("cell").orderBy("bucket")
+    starts = counts.withColumn("before", F.sum("n").over(within) - F.col("n")).join(F.broadcast(cells), "cell")  # at most 2 ** (bits * dimensions) cells
+    starts = starts.select("cell", "bucket", (F.col("before") + F.col("cell_start")).alias("start"))
+    # rows that still tie are equal in every column
+    ranked = tagged.withColumn("rank", F.row_number().over(Window.partitionBy("cell", "bucket").orderBy(F.xxhash64("key"), "key", "tie")))
+    placed = ranked.join(starts, ["cell", "bucket"]).select("row", (F.col("start") + F.col("rank") - 1).alias("place"))
     n = max(1, total)
     cut = placed.withColumn("shard", F.expr(f"int(place * {shards} div {n})"))
     slot = F.expr(f"place - (bigint(shard) * {n} + {shards - 1}) div {shards}")  # the shard's first place is a ceiling
-    return cut.withColumn("slot", slot).select(*base.columns, "place", "shard", "slot")
+    return cut.withColumn("slot", slot).select(*(F.col("row")[c].alias(c) for c in base.columns), "place", "shard", "slot")
 
 
-def write_shards(cut: DataFrame, path: str, files_per_shard: int = 1) -> None:
-    """Write the shards as folders shard=N whose files keep the order of the curve, so that readers prune by footer statistics."""
-    cut.repartitionByRange(max(1, files_per_shard) * 8, "place").sortWithinPartitions("place").write.partitionBy("shard").parquet(path)
+def write_shards(cut: DataFrame, path: str, files: int = 64) -> None:
+    """Write the shards as folders shard=N whose files are runs of the curve, so that readers prune by footer statistics. A range of
+    places that crosses a shard's end makes a file in either folder."""
+    cut.repartitionByRange(files, "place").sortWithinPartitions("place").write.partitionBy("shard").parquet(path)

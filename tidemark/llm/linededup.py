@@ -20,12 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import discard, materialise
 
 
 def _words(line: Column) -> Column:
-    """Blank-separated words of a line."""
-    return F.when(F.trim(line) == "", 0).otherwise(F.size(F.split(F.trim(line), " +")))
+    """Words of a line, parted by blanks or tabs."""
+    return F.size(F.array_remove(F.split(line, r"[ \t\r\f]+"), ""))
 
 
 def repeated_lines(lines: DataFrame) -> DataFrame:
@@ -108,18 +108,21 @@ def maximal_runs(found: DataFrame) -> DataFrame:
 def remove_repeated_runs(rows: DataFrame, key: str, text: str, min_words: int = 25) -> DataFrame:
     """rows with the later copies of repeated runs of lines deleted from the text, n_lines and n_removed."""
     base = rows.drop("n_lines", "n_removed")
-    numbered = materialise(base.withColumn("__uid", F.monotonically_increasing_id()), "numbered")
-    texts = numbered.select(F.col("__uid").alias("uid"), F.col(key).alias("key"), F.posexplode(F.split(text, "\n")).alias("line", "body"))
-    lines = texts.select("uid", "key", "line", F.unhex(F.md5(F.col("body").cast("binary"))).alias("id"), _words(F.col("body")).alias("words"))
+    # the row travels as one struct, so that no column of it can clash
+    numbered = materialise(base.select(F.monotonically_increasing_id().alias("uid"), F.struct(*(F.col(f"`{c}`") for c in base.columns)).alias("row")), "numbered")
+    body, own = F.col("row")[text], F.col("row")[key]
+    texts = numbered.select("uid", own.alias("key"), F.posexplode(F.split(body, "\n")).alias("line", "body"))
+    lines = materialise(texts.select("uid", "key", "line", F.unhex(F.md5(F.col("body").cast("binary"))).alias("id"), _words(F.col("body")).alias("words")), "lines")
     suffixes = materialise(repeated_lines(lines), "repeated")
+    discard(lines)
     runs = maximal_runs(later_windows(suffixes, min_words))
-    per_row = runs.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("__runs"), F.sum(F.col("last") - F.col("first") + 1).alias("__gone"))
-    joined = numbered.join(per_row, numbered["__uid"] == per_row["uid"], "left")
-    whole = F.split(text, "\n")
+    per_row = runs.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"), F.sum(F.col("last") - F.col("first") + 1).alias("gone"))
+    joined = numbered.join(per_row, "uid", "left")
+    whole = F.split(body, "\n")
     # what lies between the runs, in order
-    starts = F.concat(F.array(F.lit(0)), F.transform("__runs", lambda r: r["last"] + 1))
-    ends = F.concat(F.transform("__runs", lambda r: r["first"]), F.array(F.size(whole)))
+    starts = F.concat(F.array(F.lit(0)), F.transform("runs", lambda r: r["last"] + 1))
+    ends = F.concat(F.transform("runs", lambda r: r["first"]), F.array(F.size(whole)))
     kept = F.flatten(F.transform(F.arrays_zip(starts.alias("s"), ends.alias("e")), lambda z: F.slice(whole, z["s"] + 1, z["e"] - z["s"])))
-    cleaned = F.when(F.col("__runs").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    counted = joined.withColumns({"n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(whole)).cast("long"), "n_removed": F.coalesce("__gone", F.lit(0)).cast("long"), "__text": cleaned})
-    return counted.select(*(F.col("__text").alias(c) if c == text else F.col(c) for c in base.columns), "n_lines", "n_removed")
+    cleaned = F.when(F.col("runs").isNull(), body).otherwise(F.array_join(kept, "\n"))
+    n_lines = F.when(body.isNull(), 0).otherwise(F.size(whole)).cast("long")
+    return joined.select(*((cleaned if c == text else F.col("row")[c]).alias(c) for c in base.columns), n_lines.alias("n_lines"), F.coalesce("gone", F.lit(0)).cast("long").alias("n_removed"))

@@ -78,10 +78,10 @@ UNION ALL SELECT doc_id, doc_id, 0 FROM documents WHERE doc_id IS NULL OR text I
 """
 
 # smallest windows of 25 words, forward from each line and backward from it; a window that occurs earlier loses its lines
-OP9_LINE_DEDUP = """
+OP9_LINE_DEDUP = r"""
 WITH docs AS (SELECT row_number() OVER () AS uid, doc_id, text, string_split(text, chr(10)) AS bodies FROM documents),
 lines AS (SELECT uid, doc_id, unnest(bodies) AS body, unnest(range(len(bodies))) AS line FROM docs),
-counted AS (SELECT *, CASE WHEN trim(body) = '' THEN 0 ELSE len(regexp_split_to_array(trim(body), ' +')) END AS words FROM lines),
+counted AS (SELECT *, len(list_filter(regexp_split_to_array(body, '[ \t\r\f]+'), lambda w: w <> '')) AS words FROM lines),
 summed AS (SELECT uid, line, CAST(sum(words) OVER (PARTITION BY uid ORDER BY line) AS BIGINT) AS upto, CAST(sum(words) OVER (PARTITION BY uid ORDER BY line) AS BIGINT) - words AS before FROM counted),
 ends AS (SELECT uid, upto, min(line) AS line FROM summed GROUP BY ALL),
 starts AS (SELECT uid, before, max(line) AS line FROM summed GROUP BY ALL),

@@ -7,7 +7,9 @@ into gzip files on any Hadoop file system (the blank line that ends a record is
 of records. Reading inflates and parses files as streams, and folds the digests of multi-chunk payloads over sorted chunks.
 
 Equal payloads of at least min_bytes are stored once, by the largest key; the others are revisit records that name it. Smaller
-payloads are all stored. Defined cases: a null payload is empty; null keys are records without a key, and respond only where no key
+payloads are all stored. Every record and segment has an id of its own, a name-based UUID under the archive's; a record that others
+revisit is named by key and digest, so they can refer to it without having met it. Where the largest key repeats there are several
+such records, and revisits name the key alone. Defined cases: a null payload is empty; null keys are records without a key, and respond only where no key
 is there; rows that repeat the largest key all respond; null urls are left out; an empty table gives an empty archive.
 """
 
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from urllib.parse import quote
@@ -24,11 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import materialise
 
 # fixed values: the syntax of the format
 VERSION, GAP = "WARC/1.0", "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 FILE_RECORDS = 2048
+SMALL = 100_000  # repeated payloads whose digests and keys may be broadcast
 
 
 def _base32(digest: bytes) -> str:
@@ -50,21 +55,26 @@ def _record(headers: list[tuple[str, object]], block: bytes | memoryview) -> byt
     return "\r\n".join(lines).encode() + GAP.encode() + bytes(block)
 
 
-def _writer(chunk: int, date: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _writer(archive: uuid.UUID, chunk: int, date: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def name(*parts: object) -> str:
+        return f"<urn:uuid:{uuid.uuid5(archive, repr(parts))}>"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, out, held = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
             for row in range(batch.num_rows):
-                key, url, refers, payload, revisit, size, digest = (batch.column(c)[row].as_py() for c in ("key", "url", "refers", "payload", "revisit", "size", "digest"))
+                key, url, refers, tops, payload, revisit, size, digest = (batch.column(c)[row].as_py() for c in ("key", "url", "refers", "tops", "payload", "revisit", "size", "digest"))
                 number += 1
-                record = f"<urn:x-record:{task}-{number}>"
-                who = [("WARC-Record-ID", record), ("WARC-Date", date), ("WARC-Target-URI", None if url is None else quote(url, safe=":/?#[]@!$&'()*+,;=%~")), ("X-Key", key)]
+                named = tops == 1 and not revisit  # others refer to it
+                record = name("payload", key, digest) if named else name("row", task, number)
+                who = [("WARC-Date", date), ("WARC-Target-URI", None if url is None else quote(url, safe=":/?#[]@!$&'()*+,;=%~")), ("X-Key", key)]
                 whole = [("WARC-Payload-Digest", "sha1:" + _base32(bytes.fromhex(digest))), ("X-Payload-Length", size)]
                 if revisit:
-                    out.append(_record([("WARC-Type", "revisit"), *who, ("WARC-Profile", "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"), ("WARC-Refers-To", f"<urn:x-key:{refers}>"), *whole], b""))
+                    target = [("WARC-Profile", "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"), ("WARC-Refers-To", name("payload", refers, digest) if tops == 1 else None), ("X-Refers-To-Key", refers)]
+                    out.append(_record([("WARC-Type", "revisit"), ("WARC-Record-ID", record), *who, *target, *whole], b""))
                 else:
                     for i, piece, so_far, last in chunks(payload, chunk):
-                        kind = [("WARC-Type", "response" if i == 1 else "continuation"), *who]
+                        kind = [("WARC-Type", "response" if i == 1 else "continuation"), ("WARC-Record-ID", record if i == 1 else name(record, i)), *who]
                         split = [] if i == 1 and last else [("WARC-Segment-Number", i), ("WARC-Segment-Origin-ID", None if i == 1 else record), ("WARC-Segment-Total-Length", size if last else None)]
                         out.append(_record([*kind, *split, *whole, ("X-Running-Digest", "sha1:" + so_far)], piece))
                         held += len(out[-1])
@@ -81,13 +91,15 @@ def write_archive(pages: DataFrame, key: str, url: str, payload: str, path: str,
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), body.alias("payload"))
     rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "digest": F.sha1("payload")})
-    # only payloads that repeat are joined; sums and maxima are taken before the shuffle
-    shared = rows.select("key", "size", "digest").where(F.col("size") >= min_bytes).groupBy("digest").agg(F.max("key").alias("refers"), F.count("*").alias("n")).where("n > 1").select("digest", "refers")
-    joined = rows.join(shared, "digest", "left")
+    # digests and keys alone are shuffled, counted before it; the payloads stay where they are if the table of repeats is small
+    per_key = rows.select("key", "size", "digest").where(F.col("size") >= min_bytes).groupBy("digest", "key").agg(F.count("*").alias("n"))
+    shared = per_key.groupBy("digest").agg(F.max("key").alias("refers"), F.max_by("n", "key").alias("tops"), F.sum("n").alias("n")).where("n > 1").select("digest", "refers", "tops")
+    shared = materialise(shared, "repeats")
+    joined = rows.join(F.broadcast(shared) if shared.count() <= SMALL else shared, "digest", "left")
     revisit = F.coalesce((F.col("size") >= min_bytes) & F.col("refers").isNotNull() & ~F.col("key").eqNullSafe(F.col("refers")), F.lit(False))
     tagged = joined.withColumn("revisit", revisit)
-    ready = tagged.select("key", "url", F.when(F.col("revisit"), F.col("refers")).alias("refers"), F.when(F.col("revisit"), F.lit(b"")).otherwise(F.col("payload")).alias("payload"), "revisit", "size", "digest")
-    records = ready.mapInArrow(_writer(chunk, date), "value binary").select(F.col("value").cast("string").alias("value"))
+    ready = tagged.select("key", "url", F.when(F.col("revisit"), F.col("refers")).alias("refers"), F.when(F.col("key").isNotNull() | F.col("revisit"), F.col("tops")).alias("tops"), F.when(F.col("revisit"), F.lit(b"")).otherwise(F.col("payload")).alias("payload"), "revisit", "size", "digest")
+    records = ready.mapInArrow(_writer(uuid.uuid4(), chunk, date), "value binary").select(F.col("value").cast("string").alias("value"))
     records.write.option("lineSep", GAP).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
@@ -135,8 +147,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, held = [], 0
             for h, block in parse(inflate(content.as_py())):
                 total = h.get("WARC-Segment-Total-Length")
-                refers = h.get("WARC-Refers-To")
-                rows.append((h.get("WARC-Segment-Origin-ID", h["WARC-Record-ID"]), int(h.get("WARC-Segment-Number", 0)), None if total is None else int(total), h.get("X-Key"), h["WARC-Type"], refers and refers[len("<urn:x-key:") : -1], int(h["X-Payload-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:"), block))
+                rows.append((h.get("WARC-Segment-Origin-ID", h["WARC-Record-ID"]), int(h.get("WARC-Segment-Number", 0)), None if total is None else int(total), h.get("X-Key"), h["WARC-Type"], h.get("X-Refers-To-Key"), int(h["X-Payload-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:"), block))
                 held += len(block)
                 if held > 8 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
