@@ -1,18 +1,18 @@
 """Mixing to target weights by soft membership, in DataFrame functions only.
 
-A naive Bayes classifier is fitted on a bounded sample of the labelled table; it gives every document a posterior over domains. Its
-features are hashed stems (first letters of each word) and shapes of the blank-separated tokens (runs of capitals, small
-letters and digits as one sign each, other characters as they are). Features whose document frequency in no domain differs by
-`ASSOCIATION` standard deviations from chance weigh nothing. Features of one text are no independent evidence, so their sum
-counts times gain * features ** (power - 1); gain and power of each domain are chosen one after the other, until none changes, for the
-least log loss on labelled rows held back.
+A softmax classifier is fitted on a bounded sample of the labelled table; it gives every document a posterior over domains. Its features
+are the shares of hashed stems (first letters of each word) and of shapes of the blank-separated tokens (runs of capitals, small letters
+and digits as one sign each, other characters as they are). Only features whose document frequency in some domain differs by
+`ASSOCIATION` standard deviations from chance have weights. The weights are trained in the driver, on the bounded sample; the
+epoch with the least log loss on a fifth of the rows, held back, counts, so that posteriors are neither too sure nor too faint.
 
 Rates x >= 0 minimise the squared distance between expected domain tokens, A x with A = tokens * posterior, and the targets, by
 projected gradient. A round is one aggregate of a few numbers: it evaluates several projected steps x <- max(0, x - p . m), the safe
 one among them (the gradient over tokens, with the step 1 / all tokens, which the Lipschitz constant bounds), longer ones, and the
 gradient preconditioned by the Gram matrix of the documents that can move. The one with the least objective is taken, so the objective
 falls at least as with the safe step in every round and never ends above its start. The rounds end when the safe step would move no
-rate by more than the tolerance, or when the objective no longer falls in double precision; their count has no bound. A rate
+rate by more than the tolerance, or when the best of a round's steps takes less than `SLOW` off the objective; their count has no
+bound, and the result says what residual is left. A rate
 is a fold of the multipliers so far, and is written down every few rounds. copies() turns rates into whole copies, by a hash of the key.
 
 Defined cases: null, empty or wordless texts have no tokens, the prior as posterior, and a rate like others of that posterior.
@@ -27,29 +27,28 @@ from __future__ import annotations
 import json
 import logging
 import math
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import discard, materialise
 
 log = logging.getLogger(__name__)
-STEMS, SHAPES = 1 << 13, 1 << 9  # hashed features of either kind
+STEMS, SHAPES = 1 << 16, 1 << 10  # hashed features of either kind
 STEM = 6  # letters
 FEATURES = STEMS + SHAPES
 ASSOCIATION = 3.0  # standard deviations
-# (gain, power of the number of features) to try; power 0 is a mean, 1 a sum
-GAINS = [(0.0, 0.0), (1.0, 0.0), (2.0, 0.0), (4.0, 0.0), (8.0, 0.0), (16.0, 0.0), (0.25, 0.5), (1.0, 0.5)]
 FOLD = 8  # rounds between writes of the rates
+SLOW = 1e-3  # share of the objective that a round must take off
 FARTHER = (4.0, 16.0, 64.0)  # steps of the gradient beyond the safe one
 
 
 @dataclass(frozen=True)
 class Classifier:
-    prior: list[float]  # log prior by domain
-    likely: list[list[float]]  # log likelihood of every feature by domain, less its mean; 0 where it tells nothing
-    gains: list[tuple[float, float]]  # gain and power by domain
+    bias: list[float]  # by domain
+    weights: list[list[float]]  # of every feature's share, by domain
 
 
 @dataclass(frozen=True)
@@ -71,68 +70,82 @@ def _features(text: Column) -> tuple[Column, Column]:
     return F.size(words).cast("long"), F.concat(stems, shapes)
 
 
-def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, domain: Column, domains: list[str], max_rows: int = 20_000, smoothing: float = 1.0) -> Classifier:
-    """From about max_rows labelled rows, chosen by a hash of the key; a fifth of them is held back to choose the gains."""
+def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, domain: Column, domains: list[str], max_rows: int = 8000) -> Classifier:
+    """From about max_rows labelled rows, chosen by a hash of the key; a fifth of them is held back to end the training."""
     marked = labels.select(F.col(label_key).alias("id"), domain.alias("domain")).where(F.col("domain").isin(domains))
     total = marked.count()
     share = min(1.0, max_rows / total) if total else 1.0
     place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(1 << 20))
     below = math.ceil(share * (1 << 20))
     texts = docs.where(place(key) < below).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    words, features = _features(F.col("text"))
-    held = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(3)), F.lit(5)) == 0
-    sample = materialise(marked.where(place("id") < below).join(texts, "id").select("domain", words.alias("tokens"), features.alias("__f"), held.alias("held")), "labelled")
-    # a row of no feature for each document carries the prior
-    counted = sample.where("not held").select("domain", F.explode(F.concat(F.array(F.lit(-1)), F.array_distinct("__f"))).alias("feature")).groupBy("domain", "feature").agg(F.count("*").alias("n")).collect()
-    seen = {d: [0] * FEATURES for d in domains}
-    rows = dict.fromkeys(domains, 0)
+    _, features = _features(F.col("text"))
+    held = F.coalesce(F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(3)), F.lit(5)) == 0, F.lit(False))
+    sample = materialise(marked.where(place("id") < below).join(texts, "id").select("domain", features.alias("__f"), held.alias("held")), "labelled")
+    rows = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    counted = sample.select("domain", F.explode(F.array_distinct("__f")).alias("feature")).groupBy("domain", "feature").agg(F.count("*").alias("n")).collect()
+    seen: dict[int, list[int]] = {}
     for r in counted:
-        if r["feature"] < 0:
-            rows[r["domain"]] = r["n"]
-        else:
-            seen[r["domain"]][r["feature"]] = r["n"]
-    prior = [math.log((rows[d] + smoothing) / (sum(rows.values()) + smoothing * len(domains))) for d in domains]
-    model = Classifier(prior, _likely([seen[d] for d in domains], [rows[d] for d in domains], smoothing), [(4.0, 0.0)] * len(domains))
-    own = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("int")
-    back = materialise(_summed(sample.where("held"), model).withColumn("own", own), "held")
-    gains, best = model.gains, -math.inf
-    while True:
-        began = best
-        for d in range(len(domains)):
-            tried = [[*gains[:d], g, *gains[d + 1 :]] for g in GAINS]
-            got = back.agg(*(_likelihood(replace(model, gains=t)).alias(f"l{i}") for i, t in enumerate(tried))).first()
-            known = [(got[f"l{i}"], -i) for i in range(len(tried)) if got[f"l{i}"] is not None]
-            if known and max(known)[0] > best:
-                best, gains = max(known)[0], tried[-max(known)[1]]
-        if best <= began:
-            discard(sample, back)
-            return replace(model, gains=gains)
-
-
-def _likelihood(model: Classifier) -> Column:
-    """Log likelihood of the labels of rows with sums and own, the number of their domain from 1."""
-    logits = _logits(model)
-    top = F.greatest(*logits, F.lit(-1e300))
-    return F.sum(F.element_at(F.array(*logits), F.col("own")) - top - F.log(sum((F.exp(x - top) for x in logits[1:]), F.exp(logits[0] - top))))
-
-
-def _likely(seen: list[list[int]], rows: list[int], smoothing: float) -> list[list[float]]:
-    """Weights of every feature by domain, from the documents of each domain that have it."""
-    total, out = sum(rows), [[0.0] * FEATURES for _ in rows]
-    for f in range(FEATURES):
-        counts = [s[f] for s in seen]
-        all_ = sum(counts)
-        shares = [n / total if total else 0.0 for n in rows]
-        if any(abs(c - all_ * q) >= ASSOCIATION * math.sqrt(all_ * q * (1 - q) + 0.5) for c, q in zip(counts, shares, strict=True)):
-            logs = [math.log((c + smoothing) / (n + 2 * smoothing)) for c, n in zip(counts, rows, strict=True)]
-            for d, x in enumerate(logs):
-                out[d][f] = x - sum(logs) / len(logs)
-    return out
+        seen.setdefault(r["feature"], [0] * len(domains))[domains.index(r["domain"])] = r["n"]
+    kept = _associated(seen, [rows.get(d, 0) for d in domains])
+    at = [0] * FEATURES
+    for i, f in enumerate(kept, 1):
+        at[f] = i
+    numbers = F.from_json(F.lit(json.dumps(at)), "array<int>")
+    known = F.array_remove(F.transform("__f", lambda f: F.get(numbers, f)), 0)
+    taught = sample.select("domain", "held", F.greatest(F.size("__f"), F.lit(1)).alias("size"), known.alias("known")).collect()  # the bounded sample
+    discard(sample)
+    bias, weights = _train([(domains.index(r["domain"]), r["held"], r["size"], r["known"]) for r in taught], len(kept), len(domains))
+    out = [[0.0] * FEATURES for _ in domains]
+    for d, own in enumerate(weights):
+        for f, w in zip(kept, own, strict=True):
+            out[d][f] = w
+    return Classifier(bias, out)
+
+
+def _associated(seen: dict[int, list[int]], rows: list[int]) -> list[int]:
+    """Features that stand in more or fewer documents of some domain than chance would have it."""
+    shares = [n / max(1, sum(rows)) for n in rows]
+    far = lambda c, n, q: abs(c - n * q) >= ASSOCIATION * math.sqrt(n * q * (1 - q) + 0.5)
+    return sorted(f for f, counts in seen.items() if any(far(c, sum(counts), q) for c, q in zip(counts, shares, strict=True)))
+
+
+def _train(rows: list[tuple[int, bool, int, list[int]]], features: int, k: int, epochs: int = 400, rate: float = 0.1, momentum: float = 0.9) -> tuple[list[float], list[list[float]]]:
+    """(biases, weights by domain) of a softmax over shares of features, which are scaled by their root mean square for training."""
+    y = np.array([r[0] for r in rows], np.int64)
+    prior = np.log((np.bincount(y, minlength=k) + 1.0) / (len(y) + k))
+    if not features:
+        return prior.tolist(), [[] for _ in range(k)]
+    row = np.repeat(np.arange(len(rows)), [len(r[3]) for r in rows])
+    pairs, times = np.unique(row * features + np.concatenate([np.array(r[3], np.int64) - 1 for r in rows]), return_counts=True)
+    row, col = pairs // features, pairs % features
+    value = times / np.array([r[2] for r in rows])[row]
+    scale = np.sqrt(np.bincount(col, weights=value**2, minlength=features) / np.maximum(1, np.bincount(col, minlength=features)))
+    value = value / scale[col]
+    held = np.array([r[1] for r in rows], bool)
+    teach = ~held if (~held).any() else np.ones(len(y), bool)
+    target = np.eye(k)[y]
+    rate /= max(1.0, float(np.bincount(row, weights=value**2, minlength=len(y)).mean()) / 10)
+    b, w = prior.copy(), np.zeros((features, k))
+    speed_b, speed_w = np.zeros(k), np.zeros((features, k))
+    best = (math.inf, b, w)
+    for _ in range(epochs):
+        logits = np.stack([np.bincount(row, weights=value * w[col, d], minlength=len(y)) for d in range(k)], axis=1) + b
+        odds = np.exp(logits - logits.max(axis=1, keepdims=True))
+        p = odds / odds.sum(axis=1, keepdims=True)
+        loss = -np.log(np.maximum(p[np.arange(len(y)), y], 1e-300))[held if held.any() else teach].mean()
+        if loss < best[0]:
+            best = (loss, b.copy(), w.copy())
+        slope = (p - target) * teach[:, None]
+        size = teach.sum() / 10  # rare domains need long steps
+        speed_w = momentum * speed_w - rate * np.stack([np.bincount(col, weights=value * slope[row, d], minlength=features) for d in range(k)], axis=1) / size
+        speed_b = momentum * speed_b - rate * slope.sum(axis=0) / size
+        w, b = w + speed_w, b + speed_b
+    return best[1].tolist(), (best[2] / scale[:, None]).T.tolist()
 
 
 def _summed(rows: DataFrame, model: Classifier) -> DataFrame:
     """rows with __s0, __s1 and so on, the summed weights of the features __f by domain, and __n, their number."""
-    weights = [F.from_json(F.lit(json.dumps([round(x, 9) for x in w])), "array<double>") for w in model.likely]
+    weights = [F.from_json(F.lit(json.dumps([round(x, 6) or 0 for x in w])), "array<double>") for w in model.weights]
     sums = {f"__s{d}": _weigh(w) for d, w in enumerate(weights)}
     return rows.withColumns(sums | {"__n": F.greatest(F.size("__f"), F.lit(1)).cast("double")}).drop("__f")
 
@@ -143,7 +156,7 @@ def _weigh(weights: Column) -> Column:
 
 
 def _logits(model: Classifier) -> list[Column]:
-    return [F.lit(b) + F.col(f"__s{d}") * g * F.pow("__n", F.lit(power - 1)) for d, (b, (g, power)) in enumerate(zip(model.prior, model.gains, strict=True))]
+    return [F.lit(b) + F.col(f"__s{d}") / F.col("__n") for d, b in enumerate(model.bias)]
 
 
 def posteriors(docs: DataFrame, key: str, text: str, model: Classifier, keep: list[str] | None = None) -> DataFrame:
@@ -151,7 +164,7 @@ def posteriors(docs: DataFrame, key: str, text: str, model: Classifier, keep: li
     kept = keep or [key]
     words, features = _features(F.col(text))
     scored = _summed(docs.select(F.struct(*kept).alias("__kept"), words.alias("tokens"), features.alias("__f")), model)
-    names = [f"__l{d}" for d in range(len(model.prior))]
+    names = [f"__l{d}" for d in range(len(model.bias))]
     scored = scored.select("__kept", "tokens", *(x.alias(n) for n, x in zip(names, _logits(model), strict=True)))
     top = F.greatest(*names) if len(names) > 1 else F.col(names[0])
     odds = scored.select("__kept", "tokens", *(F.exp(F.col(n) - top).alias(n) for n in names))
@@ -188,9 +201,11 @@ def rate(steps: list[list[float]], start: Column | None = None) -> Column:
     return F.aggregate(folded, first, lambda x, s: F.greatest(F.lit(0.0), x - move(s)))
 
 
-def _candidates(gap: list[float], gram: list[list[float]], total: float) -> list[list[float]]:
-    """Steps to try, the safe one first."""
+def _candidates(gap: list[float], gram: list[list[float]], total: float, last: list[float] | None) -> list[list[float]]:
+    """Steps to try, the safe one first; the last step taken gives momentum."""
     out = [[g * far / total for g in gap] for far in (1.0, *FARTHER)]
+    if last:
+        out += [[a + push * b for a, b in zip(out[0], last, strict=True)] for push in (1.0, 4.0)]
     for ridge in (1e-9, 1e-4):
         damped = [[x + (ridge * total if i == j else 0.0) for j, x in enumerate(row)] for i, row in enumerate(gram)]
         out.append(solve_small(damped, gap))
@@ -222,14 +237,14 @@ def fit_rates(scored: DataFrame, domains: list[str], weights: dict[str, float],
     steps: list[list[float]] = []
     recent: list[list[float]] = []
     while True:
-        tried = _candidates([a - t for a, t in zip(reached, targets, strict=True)], gram, total)
+        tried = _candidates([a - t for a, t in zip(reached, targets, strict=True)], gram, total, steps[-1] if steps else None)
         at = table.select("tokens", "p", rate(recent, F.col("__start")).alias("__x"))
         moved = [F.greatest(F.lit(0.0), F.col("__x") - _along(s)).alias(f"x{c}") for c, s in enumerate(tried)]
         after = at.select("tokens", "p", F.when(F.col("tokens") > 0, F.abs(F.col("__x") - moved[0])).otherwise(0.0).alias("residual"), *moved)
         got = after.agg(F.max("residual").alias("residual"), *(s for c in range(len(tried)) for s in sums(f"c{c}_", F.col(f"x{c}")))).first()
         best = min(range(len(tried)), key=lambda c: far(taken(got, f"c{c}_")[0]))
         nearer, its_gram = taken(got, f"c{best}_")
-        if got["residual"] <= tolerance * budget or far(nearer) >= far(reached):
+        if got["residual"] <= tolerance * budget or far(nearer) >= (1 - SLOW) * far(reached):
             if written:
                 discard(written)
             return Mix(steps, targets, reached, got["residual"])
@@ -249,7 +264,7 @@ def told(mix_: Mix, domains: list[str]) -> str:
     return f"{', '.join(parts)}; {len(mix_.steps)} steps, residual {mix_.residual:.2g}"
 
 
-def mix(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, domain: Column, weights: dict[str, float], budget: float = 1.0, max_rows: int = 20_000) -> DataFrame:
+def mix(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, domain: Column, weights: dict[str, float], budget: float = 1.0, max_rows: int = 8000) -> DataFrame:
     """(key, tokens, p, rate) for every document; the log says how near the totals came."""
     domains = sorted(weights)
     model = fit(docs, key, text, labels, label_key, domain, domains, max_rows)
