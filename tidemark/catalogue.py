@@ -4,22 +4,21 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
-from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.inference import infer_types
-from tidemark.functions.money import round_half_up
+from tidemark.functions.inference import infer_types, sql_types
 from tidemark.operators import cdc, quality, reshape
 from tidemark.operators.asof import asof_join
 from tidemark.plans import apply, runner
+from tidemark.plans.pipelines import MODELS, MONTHS
+from tidemark.sources import files, raw, spi  # noqa: F401
 from tidemark.sources.envelope import parse_envelope
 from tidemark.sources.lake import LakeTable
-from tidemark.storage import fresh_path
+from tidemark.storage import fresh_path, materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODELS = Path(__file__).parent / "plans" / "models"
 AS_OF = datetime.date(2000, 6, 15)
 RUN_TS = "timestamp'2024-02-01 00:00:00'"
 # fixed values: currency, base, step and modulus of the made-up rates, in thousandths
@@ -42,18 +41,29 @@ def fx_rates(spark: SparkSession) -> DataFrame:
     return rates.union(rates.selectExpr("rate_date", "'USD'", "CAST(1 AS DOUBLE)").distinct())
 
 
+def silver(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The tables that the models read, from the driver's."""
+    return {
+        "shop_orders": table(spark, d, "orders").selectExpr("o_orderkey AS order_key", "o_custkey AS customer_key", "CAST(o_orderdate AS DATE) AS order_date", f"{CURRENCY} AS currency", "o_orderstatus = 'P' AS is_cancelled"),
+        "shop_order_items": table(spark, d, "lineitem").selectExpr("l_orderkey AS order_key", "l_partkey AS product_key", "l_linenumber AS line_number", "CAST(l_quantity AS BIGINT) AS quantity", "CAST(l_extendedprice AS DECIMAL(14,2)) AS amount"),
+        "shop_products": table(spark, d, "part").selectExpr("p_partkey AS product_key", "p_type AS category"),
+        "shop_customers": table(spark, d, "customer").selectExpr("c_custkey AS customer_key", "c_mktsegment AS segment", "true AS is_current"),
+        "api_fx_rates": fx_rates(spark),
+        "targets_sales": sales_targets(spark, d).selectExpr("category", "month_start", "CAST(target_usd AS DECIMAL(18,2)) AS target_usd"),
+    }
+
+
+def _model(spark: SparkSession, d: str, name: str, inputs: dict[str, DataFrame], args: dict[str, object] | None = None) -> DataFrame:
+    """The rows of a model, its inputs given by view name; nothing is left behind in the session."""
+    frames = {r.view: inputs[r.name] for r in runner.refs((MODELS / f"{name}.sql").read_text())}
+    sql = runner.with_views((MODELS / f"{name}.sql").read_text(), lambda r: f"{{{r.view}}}")
+    for k, v in (args or {}).items():
+        sql = sql.replace(f":{k}", f"DATE '{v}'")
+    return spark.sql(sql, **frames)
+
+
 def fct_order_items(spark: SparkSession, d: str) -> DataFrame:
-    orders = table(spark, d, "orders").where("o_orderstatus <> 'P'").selectExpr("o_orderkey", "o_custkey", "CAST(o_orderdate AS DATE) AS order_date", f"{CURRENCY} AS currency")
-    lines = table(spark, d, "lineitem").selectExpr("l_orderkey", "l_partkey", "l_linenumber", "CAST(l_quantity AS BIGINT) AS quantity", "CAST(l_extendedprice AS DECIMAL(14,2)) AS amount")
-    parts = table(spark, d, "part").selectExpr("p_partkey", "p_type AS category")
-    customers = table(spark, d, "customer").selectExpr("c_custkey", "c_mktsegment AS segment")
-    priced = asof_join(orders, fx_rates(spark).withColumnRenamed("currency", "fx_currency"), "order_date", "rate_date", [("currency", "fx_currency")])
-    joined = lines.join(priced, lines["l_orderkey"] == priced["o_orderkey"]).join(parts, F.col("l_partkey") == F.col("p_partkey")).join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-    usd = round_half_up(F.col("amount").cast("double") / F.col("rate")).cast("decimal(14,2)")
-    return joined.select(
-        F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_number"), "category", "segment", "currency", "order_date",
-        F.trunc("order_date", "month").alias("order_month"), "quantity", "amount", "rate", usd.alias("amount_usd"),
-    )
+    return _model(spark, d, "fct_order_items", silver(spark, d))
 
 
 _FX_VALUES = ", ".join(f"('{c}', {b}, {k}, {m})" for c, b, k, m in FX)
@@ -71,51 +81,124 @@ fct AS (SELECT l_orderkey AS order_key, l_linenumber AS line_number, p_type AS c
   JOIN part ON l_partkey = p_partkey LEFT JOIN customer ON o_custkey = c_custkey)"""
 
 
+FISCAL_YEARS = range(1995, 2002)
+
+
+def target_sheet(spark: SparkSession, d: str) -> DataFrame:
+    """Spreadsheet rows as a connector reads them: a row for each category and year, a text column for each month. The last year was
+    loaded twice, and its first load must not count."""
+    kinds = table(spark, d, "part").select(F.concat(F.lit(" "), "p_type").alias("category")).distinct()
+    scale = F.broadcast(table(spark, d, "orders").agg(F.count("*").alias("orders")))  # one row
+    years = F.explode(F.array(*map(F.lit, FISCAL_YEARS))).alias("y")
+    rows = kinds.select("category", years).join(scale, how="cross")
+    # after its eighth month the last year has no targets
+    month = lambda i: F.expr(f"CASE WHEN y < {FISCAL_YEARS[-1]} OR {i} < 8 THEN format_number(orders * (150 + ((y - 1995) * 12 + {i}) * 7919 % 211 + length(category) * 104729 % 97), 0) END")
+    sheet = rows.select("category", F.col("y").cast("string").alias("_file_fiscal_year"), F.lit("sheet").alias("_source_file"), F.lit(2).cast("long").alias("_row_number"), *(month(i).alias(m) for i, m in enumerate(MONTHS)))
+    old = sheet.where(f"_file_fiscal_year = '{FISCAL_YEARS[-1]}'").withColumns({m: F.lit("1") for m in MONTHS}).withColumn("_ingested_at", F.expr("timestamp'2024-01-01 00:00:00'"))
+    return sheet.withColumn("_ingested_at", F.expr(RUN_TS)).unionByName(old)
+
+
 def sales_targets(spark: SparkSession, d: str) -> DataFrame:
-    """A target for each category and month, by formula."""
-    kinds = table(spark, d, "part").select(F.col("p_type").alias("category")).distinct()
-    months = F.explode(F.expr("sequence(date'1995-01-01', date'2001-08-01', interval 1 month)"))
-    return kinds.withColumn("month_start", months).withColumn("target_usd", F.expr("CAST(20000 + (months_between(month_start, date'1995-01-01') * 7919 + length(category) * 104729) % 60000 AS DECIMAL(18,2))"))
+    return reshape.monthly_targets(target_sheet(spark, d), MONTHS, {}).select("fiscal_year", "month_start", "category", "source_label", "target_usd")
 
 
 TARGETS_CTE = """
-targets AS (SELECT category, CAST(m AS DATE) AS month_start, CAST(20000 + (date_diff('month', DATE '1995-01-01', CAST(m AS DATE)) * 7919 + length(category) * 104729) % 60000 AS DECIMAL(18,2)) AS target_usd
+targets AS (SELECT category, CAST(m AS DATE) AS month_start,
+  CAST((SELECT count(*) FROM orders) * (150 + date_diff('month', DATE '1995-01-01', CAST(m AS DATE)) * 7919 % 211 + (length(category) + 1) * 104729 % 97) AS DECIMAL(18,2)) AS target_usd
   FROM (SELECT DISTINCT p_type AS category FROM part) CROSS JOIN generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 MONTH) t(m))"""
+TARGETS_SQL = f"WITH {TARGETS_CTE} SELECT CAST(year(month_start) AS INTEGER) AS fiscal_year, month_start, category, category AS source_label, CAST(target_usd AS DECIMAL(12,2)) AS target_usd FROM targets"
 
 
-def _mart_views(spark: SparkSession, d: str) -> str:
-    fct_order_items(spark, d).createOrReplaceTempView("gold__fct_order_items")
-    sales_targets(spark, d).createOrReplaceTempView("silver__targets_sales")
-    return runner.localise((MODELS / "mart_sales_vs_target.sql").read_text())
+def mart_sales_vs_target(spark: SparkSession, d: str) -> DataFrame:
+    inputs = silver(spark, d)
+    return _model(spark, d, "mart_sales_vs_target", inputs | {"fct_order_items": fct_order_items(spark, d)}, {"as_of": AS_OF})
 
 
-def mart_sales_vs_target(spark: SparkSession, d: str) -> DataFrame:
-    return spark.sql(_mart_views(spark, d), args={"as_of": AS_OF})
+# written without the model: sales and targets meet by key, months are judged one by one
+MART_CTE = f"""{FCT_CTE},{TARGETS_CTE},
+sold AS (SELECT order_month, category, count(DISTINCT order_key) AS orders, sum(quantity) AS units, sum(amount_usd) AS revenue FROM fct WHERE order_date <= DATE '{AS_OF}' GROUP BY order_month, category),
+met AS (SELECT coalesce(order_month, month_start) AS m, coalesce(sold.category, targets.category) AS category, coalesce(orders, 0) AS orders, coalesce(units, 0) AS units,
+  coalesce(revenue, 0) AS revenue, target_usd AS goal, last_day(coalesce(order_month, month_start)) AS ends FROM sold FULL JOIN targets ON order_month = month_start AND sold.category = targets.category),
+dated AS (SELECT *, day(ends) AS n, CASE WHEN ends > DATE '{AS_OF}' THEN day(DATE '{AS_OF}') ELSE day(ends) END AS gone FROM met WHERE m <= DATE '{AS_OF}' AND m >= (SELECT min(order_month) FROM fct)),
+pace AS (SELECT *, CAST(floor(CAST(revenue AS DOUBLE) * n / gone * 100 + 0.5) / 100 AS DECIMAL(18,2)) AS projected FROM dated),
+mart AS (SELECT m AS month_start, category, CASE WHEN n = gone AND ends <= DATE '{AS_OF}' THEN 'closed' ELSE 'in_progress' END AS period_status, CAST(gone AS INTEGER) AS days_elapsed, CAST(n AS INTEGER) AS days_in_month,
+  CAST(orders AS BIGINT) AS orders, CAST(units AS BIGINT) AS units, CAST(revenue AS DECIMAL(18,2)) AS revenue_usd, goal AS target_usd, floor(CAST(revenue AS DOUBLE) / CAST(goal AS DOUBLE) * 10000 + 0.5) / 10000 AS attainment_pct,
+  projected AS projected_revenue_usd, floor(CAST(projected AS DOUBLE) / CAST(goal AS DOUBLE) * 10000 + 0.5) / 10000 AS projected_attainment_pct, CAST(revenue - goal AS DECIMAL(18,2)) AS gap_usd,
+  CASE WHEN ends <= DATE '{AS_OF}' AND revenue < goal THEN 'missed' WHEN ends <= DATE '{AS_OF}' THEN 'hit' WHEN projected >= goal THEN 'on_track' WHEN CAST(projected AS DOUBLE) < 0.9 * CAST(goal AS DOUBLE) THEN 'behind' ELSE 'at_risk' END AS status FROM pace)"""
+
+_gold: dict[tuple[str, str], dict[str, LakeTable]] = {}
 
 
-def _mart_sql() -> str:
-    sql = (MODELS / "mart_sales_vs_target.sql").read_text()
-    body = "\n".join(x for x in sql.splitlines() if not x.startswith("--"))
-    body = body.replace("gold.fct_order_items", "fct").replace("silver.targets_sales", "targets").replace(":as_of", f"DATE '{AS_OF}'").replace("sum(quantity) AS units", "CAST(sum(quantity) AS BIGINT) AS units")
-    body = body.replace("day(last_day(order_month))", "CAST(day(last_day(order_month)) AS INTEGER)").replace(f"day(DATE '{AS_OF}')", f"CAST(day(DATE '{AS_OF}') AS INTEGER)")
-    return f"WITH {FCT_CTE},{TARGETS_CTE}, mart AS ({body})"
+def gold(spark: SparkSession, d: str) -> dict[str, LakeTable]:
+    """The models' tables over d, run, tested and written once in a session; reports read them."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _gold:
+        _gold[key] = runner.ModelSet.read(MODELS).run(spark, silver(spark, d), fresh_path(spark, "gold"), {"as_of": AS_OF})
+    return _gold[key]
 
 
-def _report(sql: str) -> Query:
+def _report(make: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        mart_sales_vs_target(spark, d).createOrReplaceTempView("mart")
-        return spark.sql(sql.replace(" fct ", " gold__fct_order_items "))
+        tables = gold(spark, d)
+        return make(tables["mart_sales_vs_target"].read(), tables["fct_order_items"].read())
 
     return run
 
 
-REPORTS = {
-    "rpt_month_totals": "SELECT order_month, CAST(sum(revenue_usd) AS DECIMAL(20,2)) AS revenue_usd, CAST(sum(target_usd) AS DECIMAL(20,2)) AS target_usd, min(period_status) AS period_status FROM mart GROUP BY order_month",
-    "rpt_category_lines": "SELECT order_month, category, revenue_usd, attainment, status FROM mart ORDER BY order_month, attainment DESC",
-    "rpt_shortfalls": "SELECT category, projected_usd, target_usd, CAST(target_usd - projected_usd AS DECIMAL(20,2)) AS short_usd FROM mart WHERE order_month = (SELECT max(order_month) FROM mart) AND status IN ('missed', 'behind', 'at_risk')",
-    "rpt_all_months": "SELECT category, status, CAST(count(*) AS BIGINT) AS months FROM mart WHERE status IN ('hit', 'missed') GROUP BY category, status HAVING count(*) >= (SELECT count(DISTINCT order_month) / 2 FROM mart)",
-    "rpt_fx_share": "SELECT currency, CAST(sum(amount_usd) AS DECIMAL(20,2)) AS revenue_usd, floor(CAST(sum(amount_usd) AS DOUBLE) / (SELECT CAST(sum(amount_usd) AS DOUBLE) FROM fct ) * 10000 + 0.5) / 10000 AS share FROM fct WHERE currency <> 'USD' GROUP BY currency",
-}
+def month_totals(mart: DataFrame, fct: DataFrame) -> DataFrame:
+    money = lambda c: F.sum(c).cast("decimal(20,2)").alias(c)
+    return mart.groupBy("month_start").agg(money("revenue_usd"), money("target_usd"), *(F.any_value(c).alias(c) for c in ("period_status", "days_elapsed", "days_in_month")))
+
+
+def category_lines(mart: DataFrame, fct: DataFrame) -> DataFrame:
+    """Lines of each month, best attainment first; the place is a column, so that the order can be tested."""
+    place = F.row_number().over(Window.partitionBy("month_start").orderBy(F.desc("attainment_pct"), "category"))
+    return mart.select("month_start", place.alias("place"), "category", "revenue_usd", "target_usd", "attainment_pct", "projected_attainment_pct", "status").orderBy("month_start", "place")
+
+
+def shortfalls(mart: DataFrame, fct: DataFrame) -> DataFrame:
+    """Categories of the latest month that missed, or are about to miss, their target."""
+    last = F.broadcast(mart.agg(F.max("month_start").alias("month_start")))  # one row
+    short = (F.col("target_usd") - F.col("projected_revenue_usd")).cast("decimal(20,2)").alias("short_usd")
+    return mart.join(last, "month_start").where(F.col("status").isin("missed", "behind", "at_risk")).select("category", short, "status").orderBy(F.desc("short_usd"))
+
+
+def all_months(mart: DataFrame, fct: DataFrame) -> DataFrame:
+    """Categories that hit (or are on track for) their target in every month, and those that missed it in every month."""
+    verdict = F.when(F.col("status").isin("hit", "on_track"), "hit").when(F.col("status").isin("missed", "behind"), "missed")
+    months = F.broadcast(mart.agg(F.countDistinct("month_start").alias("months")))  # one row
+    return mart.withColumn("verdict", verdict).where("verdict is not null").groupBy("category", "verdict").agg(F.count("*").alias("n")).join(months, F.col("n") == F.col("months")).select("category", "verdict", "months")
+
+
+def fx_share(mart: DataFrame, fct: DataFrame) -> DataFrame:
+    """Share of revenue booked in each foreign currency."""
+    by = fct.groupBy("currency").agg(F.sum("amount_usd").alias("s"))
+    whole = F.broadcast(by.agg(F.sum("s").alias("whole")))  # one row
+    share = F.floor(F.col("s").cast("double") / F.col("whole").cast("double") * 10000 + 0.5) / 10000
+    return by.join(whole, how="cross").where("currency <> 'USD'").select("currency", F.col("s").cast("decimal(20,2)").alias("revenue_usd"), share.alias("share")).orderBy(F.desc("share"))
+
+
+def _sloped(make: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """A report over targets of which two categories always meet theirs and one never does."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        mart = gold(spark, d)["mart_sales_vs_target"].read()
+        rank = F.dense_rank().over(Window.orderBy("category"))
+        ranks = mart.select("category").distinct().withColumn("k", rank)  # a row for each category
+        return make(mart.join(F.broadcast(ranks), "category").withColumn("status", F.expr("CASE WHEN k <= 2 THEN 'hit' WHEN k = 3 THEN 'behind' ELSE status END")), mart)
+
+    return run
+
+
+REPORTS: dict[str, tuple[Query, str]] = {
+    "rpt_month_totals": (_report(month_totals), "SELECT month_start, CAST(sum(revenue_usd) AS DECIMAL(20,2)) AS revenue_usd, CAST(sum(target_usd) AS DECIMAL(20,2)) AS target_usd, max(period_status) AS period_status, max(days_elapsed) AS days_elapsed, max(days_in_month) AS days_in_month FROM mart GROUP BY 1"),
+    "rpt_category_lines": (_report(category_lines), "SELECT month_start, CAST(1 + (SELECT count(*) FROM mart o WHERE o.month_start = m.month_start AND (o.attainment_pct > m.attainment_pct OR o.attainment_pct = m.attainment_pct AND o.category < m.category)) AS INTEGER) AS place, category, revenue_usd, target_usd, attainment_pct, projected_attainment_pct, status FROM mart m"),
+    "rpt_shortfalls": (_report(shortfalls), f"SELECT category, CAST(target_usd - projected_revenue_usd AS DECIMAL(20,2)) AS short_usd, status FROM mart WHERE month_start = date_trunc('month', DATE '{AS_OF}') AND status NOT IN ('hit', 'on_track')"),
+    "rpt_all_months": (_sloped(all_months), "SELECT category, CASE WHEN k <= 2 THEN 'hit' ELSE 'missed' END AS verdict, (SELECT count(DISTINCT month_start) FROM mart) AS months FROM (SELECT category, row_number() OVER (ORDER BY category) AS k FROM (SELECT DISTINCT category FROM mart)) WHERE k <= 3"
+      " UNION ALL SELECT category, 'hit', count(*) FROM mart WHERE category NOT IN (SELECT DISTINCT category FROM mart ORDER BY category LIMIT 3) GROUP BY 1 HAVING bool_and(status IN ('hit', 'on_track'))"
+      " UNION ALL SELECT category, 'missed', count(*) FROM mart WHERE category NOT IN (SELECT DISTINCT category FROM mart ORDER BY category LIMIT 3) GROUP BY 1 HAVING bool_and(status IN ('missed', 'behind'))"),
+    "rpt_fx_share": (_report(fx_share), "SELECT currency, CAST(sum(amount_usd) AS DECIMAL(20,2)) AS revenue_usd, floor(CAST(sum(amount_usd) AS DOUBLE) / (SELECT CAST(sum(amount_usd) AS DOUBLE) FROM fct) * 10000 + 0.5) / 10000 AS share FROM fct WHERE currency <> 'USD' GROUP BY currency"),
+}
 
 # --- as-of joins over events --------------------------------------------------------------------------------------------------
 
@@ -152,9 +235,8 @@ def messages(spark: SparkSession, d: str) -> DataFrame:
         concat('{"before":', if(op = 'd', row, 'null'), ',"after":', if(op = 'd', 'null', row), ',"source":{"table":"', if(event_id % 97 = 0, 'debezium_signal', 'users'), '","lsn":', event_id * 8, ',"txId":', event_id,
           ',"ts_ms":', ms, ',"snapshot":"', if(op = 'c', 'first', 'false'), '"},"op":"', op, '","ts_ms":', ms + 5, '}') AS value
       FROM (SELECT *, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op, unix_millis(CAST(ts AS TIMESTAMP)) AS ms,
-        concat('{"user_id":', user_id, ',"event_type":"', event_type, '","k":', get_json_object(props, '$.k'), '}') AS row FROM tidemark_events)"""
-    table(spark, d, "events").createOrReplaceTempView("tidemark_events")
-    return spark.sql(sql)
+        concat('{"user_id":', user_id, ',"event_type":"', event_type, '","k":', get_json_object(props, '$.k'), '}') AS row FROM {events})"""
+    return spark.sql(sql.replace("{", "{{").replace("}", "}}").replace("{{events}}", "{events}"), events=table(spark, d, "events"))
 
 
 def bronze(spark: SparkSession, d: str) -> DataFrame:
@@ -174,7 +256,7 @@ def debezium_parse(spark: SparkSession, d: str) -> DataFrame:
     return bronze(spark, d).select("op", "record_key", "before", "after", "source_table", "source_lsn", "source_txid", "source_ts_ms", "is_snapshot", "event_ts_ms", "kafka_partition", "kafka_offset")
 
 
-_ROW = """concat('{"user_id":', user_id, ',"event_type":"', event_type, '","k":', k, '}')"""
+_ROW = """concat('{"event_type":"', event_type, '","k":', k, ',"user_id":', user_id, '}')"""
 DEBEZIUM_SQL = f"""WITH {BRONZE_CTE} SELECT op, concat('{{"user_id":', user_id, '}}') AS record_key, CASE WHEN op = 'd' THEN {_ROW} END AS before, CASE WHEN op <> 'd' THEN {_ROW} END AS after,
   'users' AS source_table, event_id * 8 AS source_lsn, event_id AS source_txid, ms AS source_ts_ms, op = 'c' AS is_snapshot, ms + 5 AS event_ts_ms, CAST(user_id % 3 AS INTEGER) AS kafka_partition, event_id AS kafka_offset FROM b"""
 
@@ -237,9 +319,6 @@ REPLAY_SQL = f"""WITH {BRONZE_CTE}, m AS (SELECT user_id % 3 AS p, max(event_id)
 
 # --- reference data -----------------------------------------------------------------------------------------------------------
 
-MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
-
-
 def _wide(spark: SparkSession, d: str) -> DataFrame:
     """Order counts by year and priority, a column for each month (null where none), as text."""
     orders = table(spark, d, "orders").selectExpr("year(o_orderdate) AS fiscal_year", "o_orderpriority AS label", "month(o_orderdate) AS m")
@@ -289,7 +368,7 @@ def _count(df: DataFrame, name: str) -> DataFrame:
 
 def dq_checks(spark: SparkSession, d: str) -> DataFrame:
     """Violations of every check, over a current state and a history that were damaged on purpose."""
-    rows = typed(spark, d)
+    rows = materialise(typed(spark, d), "typed")  # six checks, one parse
     current = cdc.latest_per_key(rows, ["user_id"], ["_seq"])
     history = cdc.versions(rows, USERS)
     hurt = history.withColumn("_is_current", F.col("_is_current") | (F.col("_seq") % 500 == 0)).withColumn("_valid_to", F.when(F.col("_seq") % 700 == 0, F.col("_valid_from") - F.expr("interval 1 day")).otherwise(F.col("_valid_to")))
@@ -314,8 +393,10 @@ UNION ALL SELECT 'scd2_matches_current_state', count(*) FROM (SELECT user_id FRO
 
 def _model_test(test: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        table(spark, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", "nullif(l_returnflag, 'R') AS flag", "l_quantity").createOrReplaceTempView("tested")
-        return _count(spark.sql(quality.test_sql(test, "tested")), test)
+        rows = table(spark, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", "nullif(l_returnflag, 'R') AS flag", "l_quantity")
+        declared = runner.Test.parse(test)
+        bad = spark.sql(declared.sql.replace("gold.tested", "{tested}"), tested=rows) if declared.sql else declared.violations(spark, rows, str)
+        return _count(bad, test)
 
     return run
 
@@ -323,7 +404,7 @@ def _model_test(test: str) -> Query:
 MODEL_TESTS = {
     "model_test_unique": ("unique(l_orderkey, l_linenumber)", "SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"),
     "model_test_not_null": ("not_null(flag)", "SELECT 1 FROM lineitem WHERE l_returnflag = 'R'"),
-    "model_test_assert_empty": ("assert_empty: SELECT * FROM tested WHERE l_quantity > 45", "SELECT 1 FROM lineitem WHERE l_quantity > 45"),
+    "model_test_assert_empty": ("assert_empty: SELECT * FROM gold.tested WHERE l_quantity > 45", "SELECT 1 FROM lineitem WHERE l_quantity > 45"),
 }
 
 
@@ -347,8 +428,49 @@ INFER_SQL = "SELECT * FROM (VALUES ('a', 'BIGINT'), ('b', 'DOUBLE'), ('c', 'DATE
 
 
 def lineage_edges(spark: SparkSession, d: str) -> DataFrame:
-    models = runner.load_models(MODELS) | {"fct_order_items": runner.parse_model("fct_order_items", "-- order lines\nsilver.shop_orders silver.shop_order_items silver.shop_products silver.shop_customers silver.reference_fx_rates")}
-    return spark.createDataFrame(runner.lineage(models), "upstream string, downstream string")
+    return spark.createDataFrame(runner.ModelSet.read(MODELS).edges(), "upstream string, downstream string")
+
+
+LINEAGE_SQL = """SELECT * FROM (VALUES ('silver.shop_orders', 'gold.fct_order_items'), ('silver.shop_order_items', 'gold.fct_order_items'), ('silver.shop_products', 'gold.fct_order_items'), ('silver.shop_customers', 'gold.fct_order_items'),
+  ('silver.api_fx_rates', 'gold.fct_order_items'), ('gold.fct_order_items', 'gold.mart_sales_vs_target'), ('silver.targets_sales', 'gold.mart_sales_vs_target')) t(upstream, downstream)"""
+
+
+def cdc_replay_noop(spark: SparkSession, d: str) -> DataFrame:
+    """The same events twice: what the second run read and wrote, beside the first."""
+    raw, out = bronze(spark, d), []
+    for kind, step in (("current", apply.apply_current), ("history", apply.apply_history)):
+        lake = LakeTable(spark, fresh_path(spark, kind))
+        for run in (1, 2):
+            done = step(USERS, raw, lake, F.expr(RUN_TS))
+            out.append((kind, run, done.events, done.inserted, lake.head().version))
+    return spark.createDataFrame(out, "kind string, run int, events bigint, inserted bigint, version int")
+
+
+REPLAY_NOOP_SQL = f"""WITH {VERSIONS_CTE}, n AS (SELECT (SELECT count(*) FROM b) AS events, (SELECT count(DISTINCT user_id) FROM b) AS keys, (SELECT count(*) FROM v) AS rows)
+SELECT 'current' AS kind, 1 AS run, events, keys AS inserted, 0 AS version FROM n UNION ALL SELECT 'current', 2, 0, 0, 0 FROM n UNION ALL SELECT 'history', 1, events, rows, 0 FROM n UNION ALL SELECT 'history', 2, 0, 0, 0 FROM n"""
+
+
+def csv_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Nations written as a delimited file with quotes and null words, read back by the connector into a raw table, twice."""
+    rows = table(spark, d, "nation").orderBy("n_nationkey").select("n_nationkey", "n_name").collect()  # 25 rows
+    text = "Key;Name;Note\n" + "".join(f'{r[0]};"{r[1]}; ""x""";{"NA" if r[0] % 2 else chr(34) + "NA" + chr(34)}\n' for r in rows)
+    folder = fresh_path(spark, "landing")
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.option("lineSep", "\n").text(folder)
+    found = spi.create("csv", spark, {"location": folder, "pattern": r"part-.*\.txt$", "delimiter": ";", "null_values": ("NA",)})
+    lake = LakeTable(spark, fresh_path(spark, "raw"))
+    for _ in range(2):  # the second run finds nothing new
+        raw.ingest_files(found, lake, datetime.datetime(2024, 2, 1))
+    return lake.read().select(F.col("key").cast("bigint").alias("n_nationkey"), "name", "note", F.col("_row_number").alias("row_number"))
+
+
+CSV_SQL = """SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name || '; "x"' AS name, CASE WHEN n_nationkey % 2 = 0 THEN 'NA' END AS note, 1 + row_number() OVER (ORDER BY n_nationkey) AS row_number FROM nation"""
+
+
+def sql_type_names(spark: SparkSession, d: str) -> DataFrame:
+    return spark.createDataFrame(sorted(sql_types(table(spark, d, "orders").selectExpr("o_orderkey", "o_orderpriority", "CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice", "o_orderdate IS NULL AS b", "CAST(o_orderdate AS DATE) AS c").schema).items()), "name string, type string")
+
+
+SQL_TYPES_SQL = "SELECT column_name AS name, column_type AS type FROM (DESCRIBE SELECT o_orderkey, o_orderpriority, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, o_orderdate IS NULL AS b, CAST(o_orderdate AS DATE) AS c FROM orders)"
 
 
 _PLAIN: dict[str, tuple[Query, str | None]] = {
@@ -371,13 +493,17 @@ _PLAIN: dict[str, tuple[Query, str | None]] = {
     "dq_checks": (dq_checks, DQ_SQL),
     "reconcile_orders": (reconcile_orders, RECONCILE_SQL),
     "infer_types": (infer_column_types, INFER_SQL),
-    "lineage_edges": (lineage_edges, None),
+    "lineage_edges": (lineage_edges, LINEAGE_SQL),
+    "sales_targets": (sales_targets, TARGETS_SQL),
+    "cdc_replay_noop": (cdc_replay_noop, REPLAY_NOOP_SQL),
+    "csv_scan": (csv_scan, CSV_SQL),
+    "sql_types": (sql_type_names, SQL_TYPES_SQL),
 }
 
 
 def _registered() -> dict[str, tuple[Query, str | None]]:
-    mart = {"mart_sales_vs_target": (mart_sales_vs_target, f"{_mart_sql()} SELECT * FROM mart")}
-    reports = {n: (_report(sql), f"{_mart_sql()} {sql}") for n, sql in REPORTS.items()}
+    mart = {"mart_sales_vs_target": (mart_sales_vs_target, f"WITH {MART_CTE} SELECT * FROM mart")}
+    reports = {n: (run, f"WITH {MART_CTE} {sql}") for n, (run, sql) in REPORTS.items()}
     tests = {n: (_model_test(test), f"SELECT '{test}' AS \"check\", count(*) AS violations FROM ({sql})") for n, (test, sql) in MODEL_TESTS.items()}
     return _PLAIN | mart | reports | tests
 

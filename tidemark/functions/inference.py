@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # fixed values: what a value must look like before a cast may decide
 INTEGER = r"^[+-]?(0|[1-9][0-9]*)$"
@@ -39,3 +40,12 @@ def infer_types(rows: DataFrame) -> dict[str, str]:
     got = rows.agg(*parts).first()
     names = [name for name, _ in _rules(F.lit(""))]
     return {c: next((names[j] for j in range(len(names)) if got[f"n{i}"] and got[f"c{i}_{j}"]), "VARCHAR") for i, c in enumerate(rows.columns)}
+
+
+# fixed values: names of Spark's types in the vocabulary of the catalogue
+NAMES = {"tinyint": "TINYINT", "smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT", "float": "FLOAT", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP", "binary": "BLOB", "string": "VARCHAR", "void": "VARCHAR"}
+
+
+def sql_types(schema: StructType) -> dict[str, str]:
+    """Type name of each column; decimals keep precision and scale, other types their Spark name in capitals."""
+    return {f.name: NAMES.get(kind := f.dataType.simpleString(), kind.upper()) for f in schema.fields}

@@ -47,7 +47,7 @@ def versions(typed: DataFrame, spec: TableSpec) -> DataFrame:
 
 def close_rows(typed: DataFrame, spec: TableSpec) -> DataFrame:
     """For each key of a batch, when its open version ends: the batch's first event."""
-    return typed.groupBy(*spec.primary_key).agg(F.min("_source_ts").alias("_valid_to"), F.min("_seq").alias("_seq"))
+    return typed.groupBy(*spec.primary_key).agg(F.min("_source_ts").alias("_valid_to"), F.min("_seq").alias("_seq"), F.max("_processed_at").alias("_processed_at"))
 
 
 def merge_source(typed: DataFrame, spec: TableSpec) -> DataFrame:
@@ -71,11 +71,10 @@ def merge_history(state: DataFrame, typed: DataFrame, spec: TableSpec) -> DataFr
     keys = list(spec.primary_key)
     known = state.groupBy(*keys).agg(F.max("_seq").alias("__last"))
     fresh = typed.join(known, keys, "left").where("__last is null or _seq > __last").drop("__last")
-    ends = close_rows(fresh, spec).select(*keys, F.col("_valid_to").alias("__to"))
+    ends = close_rows(fresh, spec).select(*keys, F.col("_valid_to").alias("__to"), F.col("_processed_at").alias("__at"))
     closing = F.col("_is_current") & F.col("__to").isNotNull()
-    kept = state.join(ends, keys, "left").select(
-        *(F.when(closing, F.col("__to")).otherwise(F.col(c)).alias(c) if c == "_valid_to" else (F.when(closing, F.lit(False)).otherwise(F.col(c)).alias(c) if c == "_is_current" else F.col(c)) for c in state.columns)
-    )
+    changed = {"_valid_to": F.col("__to"), "_is_current": F.lit(False), "_processed_at": F.col("__at")}
+    kept = state.join(ends, keys, "left").select(*(F.when(closing, changed[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c) for c in state.columns))
     return kept.unionByName(versions(fresh, spec))
 
 

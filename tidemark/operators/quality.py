@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,11 +15,11 @@ class QualityError(RuntimeError):
 
 def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur twice; nulls count as equal."""
-    return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    return rows.groupBy(*(F.col(f"`{k}`") for k in keys)).agg(F.count("*").alias("n")).where("n > 1")
 
 
 def null_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.where(reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys)))
+    return rows.where(reduce(lambda a, b: a | b, (F.col(f"`{k}`").isNull() for k in keys)))
 
 
 def history_checks(history: DataFrame, current: DataFrame, keys: list[str]) -> dict[str, DataFrame]:
@@ -44,15 +44,11 @@ def gate(checks: dict[str, DataFrame]) -> None:
         raise QualityError(", ".join(f"{k}: {v}" for k, v in sorted(bad.items())))
 
 
-def test_sql(test: str, table: str) -> str:
-    """SQL whose rows violate a model's test: unique(a, b), not_null(a) or assert_empty: <sql>."""
-    if m := re.fullmatch(r"unique\(([^)]+)\)", test):
-        return f"SELECT {m[1]} FROM {table} GROUP BY {m[1]} HAVING count(*) > 1"
-    if m := re.fullmatch(r"not_null\((\w+)\)", test):
-        return f"SELECT * FROM {table} WHERE {m[1]} IS NULL"
-    if m := re.fullmatch(r"assert_empty:\s*(.+)", test, re.DOTALL):
-        return m[1]
-    raise ValueError(f"unknown test: {test}")
+# tests that a model may declare by name, each a table of what violates it
+MODEL_TESTS: dict[str, Callable[[DataFrame, list[str]], DataFrame]] = {
+    "unique": lambda rows, columns: duplicate_keys(rows, columns),
+    "not_null": lambda rows, columns: null_keys(rows, columns),
+}
 
 
 def reconcile(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:

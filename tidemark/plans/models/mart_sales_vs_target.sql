@@ -1,23 +1,28 @@
--- Monthly sales in USD against targets by category, with the run rate of the open month.
--- test: unique(order_month, category)
+-- Revenue in USD beside its target for every month and category that has either; an open month is projected at its run rate.
+-- test: unique(month_start, category)
 -- test: not_null(target_usd)
-WITH sales AS (
-  SELECT order_month, category, CAST(sum(amount_usd) AS DECIMAL(18, 2)) AS revenue_usd, count(DISTINCT order_key) AS orders, sum(quantity) AS units
-  FROM gold.fct_order_items WHERE order_date <= :as_of GROUP BY ALL
-), joined AS (
-  SELECT coalesce(s.order_month, t.month_start) AS order_month, coalesce(s.category, t.category) AS category,
-    coalesce(s.revenue_usd, CAST(0 AS DECIMAL(18, 2))) AS revenue_usd, coalesce(s.orders, 0) AS orders, coalesce(s.units, 0) AS units, t.target_usd
-  FROM sales s FULL OUTER JOIN silver.targets_sales t ON s.order_month = t.month_start AND s.category = t.category
-), staged AS (
-  SELECT *, CASE WHEN last_day(order_month) <= :as_of THEN 'closed' ELSE 'in_progress' END AS period_status,
-    CASE WHEN last_day(order_month) <= :as_of THEN day(last_day(order_month)) ELSE day(:as_of) END AS days_elapsed,
-    day(last_day(order_month)) AS days_in_month
-  FROM joined WHERE order_month >= (SELECT min(order_month) FROM sales) AND order_month <= :as_of
-), projected AS (
-  SELECT *, CAST(floor(CAST(revenue_usd AS DOUBLE) * days_in_month / days_elapsed * 100 + 0.5) / 100 AS DECIMAL(18, 2)) AS projected_usd FROM staged
-)
-SELECT order_month, category, revenue_usd, orders, units, target_usd, period_status, days_elapsed, projected_usd,
-  floor(CAST(revenue_usd AS DOUBLE) / CAST(target_usd AS DOUBLE) * 10000 + 0.5) / 10000 AS attainment,
-  CASE WHEN period_status = 'closed' THEN CASE WHEN revenue_usd >= target_usd THEN 'hit' ELSE 'missed' END
-    WHEN projected_usd >= target_usd THEN 'on_track' WHEN CAST(projected_usd AS DOUBLE) >= 0.9 * CAST(target_usd AS DOUBLE) THEN 'at_risk' ELSE 'behind' END AS status
-FROM projected
+-- test: assert_empty: SELECT 1 FROM gold.mart_sales_vs_target WHERE days_elapsed > days_in_month OR orders < 0
+WITH entries AS (
+  -- sales and targets as one list: a single aggregate takes the place of a join
+  SELECT order_month AS month_start, category, order_key, quantity, amount_usd, CAST(NULL AS DECIMAL(18, 2)) AS target_usd
+  FROM gold.fct_order_items WHERE order_date <= :as_of
+  UNION ALL
+  SELECT month_start, category, NULL, 0, 0, target_usd FROM silver.targets_sales
+), calendar AS (
+  -- one row for each month, so that dates are worked out once
+  SELECT month_start, last_day(month_start) <= :as_of AS over, day(last_day(month_start)) AS length
+  FROM (SELECT explode(sequence((SELECT min(order_month) FROM gold.fct_order_items), trunc(:as_of, 'month'), interval 1 month)) AS month_start)
+), totals AS (
+  SELECT month_start, category, count(DISTINCT order_key) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
+    CAST(sum(amount_usd) AS DECIMAL(18, 2)) AS revenue_usd, max(target_usd) AS target_usd
+  FROM entries GROUP BY month_start, category
+), placed AS (
+  SELECT t.*, c.over, c.length, if(c.over, c.length, day(:as_of)) AS elapsed, CAST(t.revenue_usd AS DOUBLE) AS r, CAST(t.target_usd AS DOUBLE) AS goal
+  FROM totals t JOIN calendar c USING (month_start)
+), rated AS (SELECT *, CAST(floor(r * length / elapsed * 100 + 0.5) / 100 AS DECIMAL(18, 2)) AS rate FROM placed)
+SELECT month_start, category, if(over, 'closed', 'in_progress') AS period_status, elapsed AS days_elapsed, length AS days_in_month, orders, units,
+  revenue_usd, target_usd, floor(try_divide(r, goal) * 10000 + 0.5) / 10000 AS attainment_pct, rate AS projected_revenue_usd,
+  floor(try_divide(CAST(rate AS DOUBLE), goal) * 10000 + 0.5) / 10000 AS projected_attainment_pct, CAST(revenue_usd - target_usd AS DECIMAL(18, 2)) AS gap_usd,
+  -- fixed values: the words, and the nine tenths from which a month is only at risk
+  CASE WHEN over THEN if(r >= goal, 'hit', 'missed') WHEN rate >= target_usd THEN 'on_track' WHEN CAST(rate AS DOUBLE) >= 0.9 * goal THEN 'at_risk' ELSE 'behind' END AS status
+FROM rated ORDER BY month_start, category

@@ -13,10 +13,13 @@ from typing import Any
 from xml.etree import ElementTree
 
 import pyarrow as pa
+from pyarrow import csv as arrow_csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.spi import Batch, Capabilities, Connector, ConnectorError, Stream, register
+from tidemark.functions.inference import infer_types
+from tidemark.sources.spi import Batch, Capabilities, Connector, ConnectorError, DatasetSchema, Stream, register
+from tidemark.sources.spi import Column as SchemaColumn
 
 
 @dataclass(frozen=True)
@@ -28,9 +31,10 @@ class SourceFile:
 
 
 def list_files(spark: SparkSession, location: str) -> list[SourceFile]:
-    """Files under a location; the etag is a hash of the content, taken where the file is read."""
+    """Files under a location; no content is read. The etag is time of change and size, which every store has."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location)
-    got = rows.select("path", F.sha2("content", 256).alias("etag"), "length", "modificationTime").collect()  # a row for each landing file
+    stamp = F.concat_ws("-", F.unix_micros("modificationTime").cast("string"), F.col("length").cast("string"))
+    got = rows.select("path", stamp.alias("etag"), "length", "modificationTime").collect()  # a row for each landing file
     return sorted((SourceFile(r["path"], r["etag"], r["length"], r["modificationTime"]) for r in got), key=lambda f: f.path)
 
 
@@ -76,60 +80,37 @@ class ExcelConfig:
 Rows = list[tuple[int, list[str | None]]]
 
 
-def _quoted_cells(line: str, delimiter: str, quote: str) -> list[tuple[str, bool]]:
-    """Cells of a record and whether each was quoted, which csv.reader does not tell."""
-    cells, i, n = [], 0, len(line)
-    while True:
-        text, quoted = [], i < n and line[i] == quote
-        if quoted:
-            i += 1
-            while i < n:
-                if line[i] == quote:
-                    if i + 1 < n and line[i + 1] == quote:
-                        i += 1
-                    else:
-                        i += 1
-                        break
-                text.append(line[i])
-                i += 1
-        while i < n and line[i] != delimiter:
-            text.append(line[i])
-            i += 1
-        cells.append(("".join(text), quoted))
-        if i >= n:
-            return cells
-        i += 1
-
-
-def _records(text: str, quote: str) -> Iterator[str]:
-    """Lines, except that a line break inside quotes is part of a record."""
-    held: list[str] = []
-    for line in text.splitlines():
-        held.append(line)
-        if "\n".join(held).count(quote) % 2 == 0:
-            yield "\n".join(held)
-            held = []
-    if held:
-        yield "\n".join(held)
+def _read_options(config: CsvConfig) -> dict[str, Any]:
+    read = arrow_csv.ReadOptions(encoding=config.encoding, skip_rows=max(0, config.header_row - 1), autogenerate_column_names=True, block_size=1 << 24, use_threads=False)
+    parse = arrow_csv.ParseOptions(delimiter=config.delimiter, quote_char=config.quote, newlines_in_values=True)
+    return {"read_options": read, "parse_options": parse}
 
 
-def parse_csv(data: bytes, config: CsvConfig) -> tuple[list[str], Rows]:
-    """(columns, numbered rows), all strings. An unquoted null value is null, a quoted one never."""
-    try:
-        text = data.decode(config.encoding)
-    except UnicodeDecodeError as error:
-        raise ConnectorError(f"not {config.encoding}: {error}") from error
-    records = [_quoted_cells(r, config.delimiter, config.quote) for r in _records(text, config.quote)]
-    if config.header_row > len(records):
+def read_csv(data: bytes, config: CsvConfig) -> pa.Table:
+    """All cells as strings under normalised names. An unquoted null value is null, a quoted one never; blank lines are no records."""
+    if config.header_row > 1 and config.header_row > len(data.splitlines()):
         raise ConnectorError(f"there is no header line {config.header_row}")
-    width = len(records[config.header_row - 1] if config.header_row else records[0]) if records else 0
-    names = unique_names([c for c, _ in records[config.header_row - 1]] if config.header_row else [None] * width)
-    rows: Rows = []
-    for number, cells in enumerate(records[config.header_row :], config.header_row + 1):
-        if len(cells) != width:
-            raise ConnectorError(f"line {number} has {len(cells)} cells, the header {width}")
-        rows.append((number, [None if not quoted and c in config.null_values else c for c, quoted in cells]))
-    return names, rows
+    if not data.strip():
+        if config.header_row:
+            raise ConnectorError(f"there is no header line {config.header_row}")
+        return pa.table({})
+    try:
+        first = arrow_csv.open_csv(io.BytesIO(data), **_read_options(config)).schema.names
+        cells = arrow_csv.ConvertOptions(column_types=dict.fromkeys(first, pa.string()), null_values=list(config.null_values), strings_can_be_null=True, quoted_strings_can_be_null=False)
+        table = arrow_csv.read_csv(io.BytesIO(data), convert_options=cells, **_read_options(config))
+    except (pa.ArrowInvalid, LookupError, UnicodeDecodeError) as error:
+        wrong = re.search(r"Row #(\d+): Expected (\d+) columns, got (\d+)", str(error))
+        raise ConnectorError(f"line {wrong[1]} has {wrong[3]} cells, the header {wrong[2]}" if wrong else f"not readable as {config.encoding} text: {error}") from error
+    if not config.header_row:
+        return table.rename_columns(unique_names([None] * table.num_columns))
+    return table.slice(1).rename_columns(unique_names([c[0].as_py() for c in table.columns]))
+
+
+def parse_csv(data: bytes, config: CsvConfig) -> tuple[list[str], Rows]:
+    """(columns, numbered rows); a record's number counts records from the header line on."""
+    table = read_csv(data, config)
+    cells = zip(*(c.to_pylist() for c in table.columns), strict=True)
+    return table.column_names, [(config.header_row + i, list(row)) for i, row in enumerate(cells, 1)]
 
 
 # fixed values: names of the spreadsheet format
@@ -285,16 +266,39 @@ class FileConnector(Connector):
 
     def extract(self, state: dict[str, Any] | None = None, full: bool = False) -> Iterator[Batch]:
         """A batch for each file whose path and etag the state doesn't have; the state grows with every batch."""
-        seen = dict((state or {}).get("seen", {}))
+        seen = {tuple(x) for x in (state or {}).get("seen", [])}
         for file, found in self.files():
-            if full or seen.get(file.path) != file.etag:
+            if full or (file.path, file.etag) not in seen:
                 lineage = {"_source_file": F.lit(file.path), "_file_etag": F.lit(file.etag)} | {f"_file_{k}": F.lit(v) for k, v in found.items()}
-                seen[file.path] = file.etag
-                yield Batch(self._rows(file).withColumns(lineage), {"seen": dict(seen)}, file.path)
+                seen.add((file.path, file.etag))
+                yield Batch(self._rows(file).withColumns(lineage), {"seen": sorted(map(list, seen))}, file.path)
 
     def preview(self, n: int = 20) -> DataFrame:
         return self._rows(self.newest()).limit(n)
 
+    def schema(self, rows: int = 10_000) -> DatasetSchema:
+        """Columns of the newest file, with types that fit its first rows."""
+        head = self._rows(self.newest()).drop("_row_number").limit(rows)
+        kinds = infer_types(head)
+        return DatasetSchema(tuple(SchemaColumn(n, kinds[n]) for n in head.columns))
+
+    def size(self) -> dict[str, int]:
+        """Files and bytes that a full extract reads."""
+        found = [f for f, _ in self.files()]
+        return {"files": len(found), "bytes": sum(f.size for f in found)}
+
+    def metadata(self) -> dict[str, Any]:
+        newest = self.newest()
+        return {"type": self.type, "location": self.config.location, **self.size(), "newest": newest.path, "modified": newest.modified.isoformat()}
+
+    def test(self) -> str:
+        """What is wrong with the source, or an empty text."""
+        try:
+            self.preview(1).count()
+        except Exception as error:  # whatever the store raises is the answer
+            return f"{self.type}: {str(error).splitlines()[0]}"
+        return ""
+
 
 @register
 class CsvConnector(FileConnector):

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 log = logging.getLogger(__name__)
 PLUGINS = "tidemark.connectors"
 MASK = "***"
-_CURSOR = re.compile(r"(updated|modified|changed|last_update|ingest).*|.*_(at|ts|time)$", re.IGNORECASE)
+# fixed values: names of columns that move with every change, and how they may end
+CURSOR_NAMES = ("updated", "modified", "changed", "last_modified", "last_updated")
+CURSOR_ENDS = ("", "_at", "_on", "_ts", "_date", "_time")
 
 
 class ConnectorError(RuntimeError):
@@ -114,8 +116,9 @@ class Recommendation:
 
 
 def cursor_column(schema: DatasetSchema) -> str | None:
-    """The first time column whose name says that it moves with changes."""
-    return next((c.name for c in schema.columns if _CURSOR.fullmatch(c.name) and c.type.startswith(("TIMESTAMP", "DATE"))), None)
+    """The first time column whose name says that it moves with every change; one that only tells of the creation does not."""
+    moving = {n + e for n in CURSOR_NAMES for e in CURSOR_ENDS}
+    return next((c.name for c in schema.columns if c.name.lower() in moving and c.type.upper().startswith(("TIMESTAMP", "DATE"))), None)
 
 
 def recommend(capabilities: Capabilities, schema: DatasetSchema) -> Recommendation:
