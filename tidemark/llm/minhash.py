@@ -218,8 +218,10 @@ def jaccard_classes(docs: DataFrame, key: str, text: str, n: int = 5, threshold:
     found = members.join(nodes.select("node", "copies", "first_id"), "node")
     texts = found.join(rows, found["first_id"] == rows["id"]).select("node", "comp", "copies", "own", "text")
     sets = texts.mapInArrow(_setter(n), "node binary, comp binary, copies bigint, own int, grams binary").dropDuplicates(["node"])
+    meets = materialise(meets, "meets")
     pairs = meets.select("comp", F.col("a").alias("own"), F.col("b").alias("met")).union(meets.where("a <> b").select("comp", "b", "a"))
-    met = sets.join(pairs, ["comp", "own"], "left").withColumn("met", F.coalesce("met", "own"))
+    few = meets.count() <= SMALL
+    met = sets.join(F.broadcast(pairs) if few else pairs, ["comp", "own"], "left").withColumn("met", F.coalesce("met", "own"))
     dealt = met.select("comp", F.least("own", "met").alias("lo"), F.greatest("own", "met").alias("hi"), "own", "node", "copies", "grams")
     verified = materialise(dealt.repartition("comp", "lo", "hi").sortWithinPartitions("comp", "lo", "hi").mapInArrow(_verifier(threshold), "node binary, other binary, links bigint"), "links")
     discard(hung)
@@ -241,7 +243,10 @@ def _blocks(candidates: DataFrame, least: DataFrame, nodes: DataFrame) -> tuple[
     """((node, comp, own) of every candidate, (comp, a, b) for the blocks a <= b of a component that share a band). A component of one
     block has no row in the second table."""
     big = materialise(candidates.groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("label", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "large")
-    few = F.broadcast(big) if big.count() <= SMALL else big
+    n_big = big.count()
+    if not n_big:
+        return candidates.select("node", F.col("label").alias("comp"), F.lit(0).alias("own")), nodes.sparkSession.createDataFrame([], "comp binary, a int, b int")
+    few = F.broadcast(big) if n_big <= SMALL else big
     tagged = candidates.join(few, "label", "left")
     small = tagged.where("blocks is null").select("node", F.col("label").alias("comp"), F.lit(0).alias("own"))
     large = tagged.where("blocks is not null").join(least, "node", "left").withColumn("least", F.coalesce("least", "node"))
@@ -251,8 +256,7 @@ def _blocks(candidates: DataFrame, least: DataFrame, nodes: DataFrame) -> tuple[
     dealt = materialise(large.join(sizes, "least").select("node", F.col("label").alias("comp"), F.pmod(spread, F.col("blocks")).cast("int").alias("own")), "blocks")
     at = dealt.join(nodes.select("node", "bands"), "node").select("comp", "own", F.explode("bands").alias("band")).distinct()
     left, right = at.withColumnRenamed("own", "a"), at.withColumnRenamed("own", "b")
-    meets = left.join(right, ["comp", "band"]).where("a <= b").select("comp", "a", "b").distinct()
-    return small.unionByName(dealt), materialise(meets, "meets")
+    return small.unionByName(dealt), left.join(right, ["comp", "band"]).where("a <= b").select("comp", "a", "b").distinct()
 
 
 def _wordless(rows: DataFrame) -> DataFrame:
