@@ -54,7 +54,7 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = materialise(mixing.posteriors(docs, "doc_id", "text", model, keep=docs.columns), "posteriors")
     found = mixing.fit_rates(scored, domains, queries.MIX_WEIGHTS, queries.MIX_BUDGET)
     log.info("mixing: %s", mixing.told(found, domains))
-    times = mixing.copies(F.col("doc_id"), mixing.rate(found.steps))
+    times = mixing.copies(F.col("doc_id"), mixing.rate(found.multipliers))
     return scored.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
 
 

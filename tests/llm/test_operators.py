@@ -506,7 +506,7 @@ def test_rates_are_nonnegative_least_squares(spark, rows, weights):
             if a[:, i].any():
                 x[i] = max(0.0, x[i] - a[:, i] @ (a @ x - found.targets) / (a[:, i] @ a[:, i]))
     told, start = ((a @ x - found.targets) ** 2).sum(), ((a.sum(axis=1) - found.targets) ** 2).sum()
-    rates = np.array([r[0] for r in scored.select(mixing.rate(found.steps)).collect()])
+    rates = np.array([r[0] for r in scored.select(mixing.rate(found.multipliers)).collect()])
     assert np.allclose(a @ rates, found.reached) and (rates >= 0).all()
     reached = ((a @ rates - found.targets) ** 2).sum()
     total = sum(t for t, _ in rows)

@@ -6,14 +6,13 @@ and digits as one sign each, other characters as they are). Only features whose
 `ASSOCIATION` standard deviations from chance have weights. The weights are trained in the driver, on the bounded sample; the
 epoch with the least log loss on a fifth of the rows, held back, counts, so that posteriors are neither too sure nor too faint.
 
-Rates x >= 0 minimise the squared distance between expected domain tokens, A x with A = tokens * posterior, and the targets, by
-projected gradient. A round is one aggregate of a few numbers: it evaluates several projected steps x <- max(0, x - p . m), the safe
-one among them (the gradient over tokens, with the step 1 / all tokens, which the Lipschitz constant bounds), longer ones, and the
-gradient preconditioned by the Gram matrix of the documents that can move. The one with the least objective is taken, so the objective
-falls at least as with the safe step in every round and never ends above its start. The rounds end when the safe step would move no
-rate by more than the tolerance, or when the best of a round's steps takes less than `SLOW` off the objective; their count has no
-bound, and the result says what residual is left. A rate
-is a fold of the multipliers so far, and is written down every few rounds. copies() turns rates into whole copies, by a hash of the key.
+Rates x >= 0 minimise the squared distance between expected domain tokens, A x with A = tokens * posterior, and the targets, by lazily
+projected gradient (dual averaging): the steps against the gradient add up in k multipliers m, and the rates are the projection of the
+start after all of them, x = max(0, 1 - p . m). A weight of `PULL` on the distance from 1 makes the solution unique, also where no
+rates meet the targets. A round is one aggregate of a few numbers, at several multipliers: after the safe step (the Lipschitz
+constant, at most all tokens, bounds it), and after steps scaled by the Gram matrix of the documents that can move. The best of them
+counts, so every round gains at least as much as the safe step. Rounds end when the gradient is below the tolerance or nothing is
+gained in double precision; their count has no bound. copies() turns rates into whole copies, by a hash of the key.
 
 Defined cases: null, empty or wordless texts have no tokens, the prior as posterior, and a rate like others of that posterior.
 Null keys and repeated rows are documents like any other. Labels that are null, name no document or contradict each other each
@@ -40,9 +39,8 @@ STEMS, SHAPES = 1 << 16, 1 << 10  # hashed features of either kind
 STEM = 6  # letters
 FEATURES = STEMS + SHAPES
 ASSOCIATION = 3.0  # standard deviations
-FOLD = 8  # rounds between writes of the rates
-SLOW = 1e-3  # share of the objective that a round must take off
-FARTHER = (4.0, 16.0, 64.0)  # steps of the gradient beyond the safe one
+PULL = 1e-7  # of the rates toward 1, against the squared distance in shares of all tokens
+DAMPING = (1.0, 0.3, 0.1, 0.03, 0.01)
 
 
 @dataclass(frozen=True)
@@ -53,12 +51,13 @@ class Classifier:
 
 @dataclass(frozen=True)
 class Mix:
-    """Steps from a rate of 1, and how near they come: `residual` is the most that the safe step would still change a rate."""
+    """The multipliers, and how near their rates come: `residual` is the largest part of the gradient, as a share of all tokens."""
 
-    steps: list[list[float]]
+    multipliers: list[float]
     targets: list[float]
     reached: list[float]
     residual: float
+    rounds: int
 
 
 def _features(text: Column) -> tuple[Column, Column]:
@@ -187,81 +186,59 @@ def solve_small(matrix: list[list[float]], right: list[float]) -> list[float]:
     return [rows[i][n] / rows[i][i] for i in range(n)]
 
 
-def _along(step: list[float]) -> Column:
-    return sum((F.col("p")[i] * s for i, s in enumerate(step[1:], 1)), F.col("p")[0] * step[0])
+def rate(multipliers: list[float]) -> Column:
+    """The rate of a document with posterior p."""
+    return F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.col("p")[i] * m for i, m in enumerate(multipliers)), F.lit(0.0)))
 
 
-def rate(steps: list[list[float]], start: Column | None = None) -> Column:
-    """The rate after these steps."""
-    first = F.lit(1.0) if start is None else start
-    if not steps:
-        return first
-    folded = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")
-    move = lambda s: sum((F.col("p")[i] * s[i] for i in range(1, len(steps[0]))), F.col("p")[0] * s[0])
-    return F.aggregate(folded, first, lambda x, s: F.greatest(F.lit(0.0), x - move(s)))
-
-
-def _candidates(gap: list[float], gram: list[list[float]], total: float, last: list[float] | None) -> list[list[float]]:
-    """Steps to try, the safe one first; the last step taken gives momentum."""
-    out = [[g * far / total for g in gap] for far in (1.0, *FARTHER)]
-    if last:
-        out += [[a + push * b for a, b in zip(out[0], last, strict=True)] for push in (1.0, 4.0)]
-    for ridge in (1e-9, 1e-4):
-        damped = [[x + (ridge * total if i == j else 0.0) for j, x in enumerate(row)] for i, row in enumerate(gram)]
-        out.append(solve_small(damped, gap))
-    return out
-
-
-def fit_rates(scored: DataFrame, domains: list[str], weights: dict[str, float], budget: float = 1.0, tolerance: float = 1e-6) -> Mix:
+def fit_rates(scored: DataFrame, domains: list[str], weights: dict[str, float], budget: float = 1.0, tolerance: float = 1e-7) -> Mix:
     """Rates for expected domain tokens of budget * weight * all tokens; scored has tokens and p."""
     k = len(domains)
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
 
-    def sums(name: str, x: Column) -> list[Column]:
-        """Totals by domain and the Gram matrix of the documents that can move."""
+    def measured(tried: list[list[float]]) -> list[tuple[float, list[float], list[list[float]]]]:
+        """Half the squared rates, totals by domain and the Gram matrix of the documents that can move, at each multipliers."""
         t = F.col("tokens").cast("double")
-        totals = [F.sum(t * x * F.col("p")[i]).alias(f"{name}a{i}") for i in range(k)]
-        return totals + [F.sum(F.when(x > 0, t * F.col("p")[i] * F.col("p")[j]).otherwise(0.0)).alias(f"{name}g{i}_{j}") for i, j in pairs]
-
-    def taken(row: object, name: str) -> tuple[list[float], list[list[float]]]:
-        return [row[f"{name}a{i}"] for i in range(k)], [[row[f"{name}g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]
-
-    table, written = scored.select("tokens", "p", F.lit(1.0).alias("__start")), None
-    begun = table.agg(F.sum("tokens").alias("all"), *sums("", F.col("__start"))).first()
-    total = float(begun["all"] or 0)
+        rates = scored.select(t.alias("t"), "p", *(rate(m).alias(f"x{c}") for c, m in enumerate(tried)))
+        sums = []
+        for c in range(len(tried)):
+            x, p = F.col(f"x{c}"), [F.col("p")[i] for i in range(k)]
+            sums.append(F.sum(F.col("t") * x * x / 2).alias(f"h{c}"))
+            sums += [F.sum(F.col("t") * x * p[i]).alias(f"a{c}_{i}") for i in range(k)]
+            sums += [F.sum(F.when(x > 0, F.col("t") * p[i] * p[j]).otherwise(0.0)).alias(f"g{c}_{i}_{j}") for i in range(k) for j in range(i, k)]
+        got = rates.agg(*sums).first()
+        return [(got[f"h{c}"], [got[f"a{c}_{i}"] for i in range(k)], [[got[f"g{c}_{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) for c in range(len(tried))]
+
+    total = float(scored.agg(F.sum("tokens")).first()[0] or 0)
     if not total:
-        return Mix([], [0.0] * k, [0.0] * k, 0.0)
+        return Mix([0.0] * k, [0.0] * k, [0.0] * k, 0.0, 0)
     targets = [budget * total * weights[d] / sum(weights.values()) for d in domains]
-    far = lambda a: sum((x - t) ** 2 for x, t in zip(a, targets, strict=True))
-    reached, gram = taken(begun, "")
-    steps: list[list[float]] = []
-    recent: list[list[float]] = []
+
+    def cost(half: float, m: list[float]) -> float:
+        """What the multipliers minimise: its gradient is what the targets still lack, less the pull."""
+        return half / total + sum(x * t / total + PULL * x * x / 2 for x, t in zip(m, targets, strict=True))
+
+    at = [0.0] * k
+    half, reached, gram = measured([at])[0]
+    rounds = 0
     while True:
-        tried = _candidates([a - t for a, t in zip(reached, targets, strict=True)], gram, total, steps[-1] if steps else None)
-        at = table.select("tokens", "p", rate(recent, F.col("__start")).alias("__x"))
-        moved = [F.greatest(F.lit(0.0), F.col("__x") - _along(s)).alias(f"x{c}") for c, s in enumerate(tried)]
-        after = at.select("tokens", "p", F.when(F.col("tokens") > 0, F.abs(F.col("__x") - moved[0])).otherwise(0.0).alias("residual"), *moved)
-        got = after.agg(F.max("residual").alias("residual"), *(s for c in range(len(tried)) for s in sums(f"c{c}_", F.col(f"x{c}")))).first()
-        best = min(range(len(tried)), key=lambda c: far(taken(got, f"c{c}_")[0]))
-        nearer, its_gram = taken(got, f"c{best}_")
-        if got["residual"] <= tolerance * budget or far(nearer) >= (1 - SLOW) * far(reached):
-            if written:
-                discard(written)
-            return Mix(steps, targets, reached, got["residual"])
-        reached, gram = nearer, its_gram
-        steps.append(tried[best])
-        recent.append(tried[best])
-        if len(recent) == FOLD:
-            table = materialise(table.select("tokens", "p", rate(recent, F.col("__start")).alias("__start")), "rates")
-            if written:
-                discard(written)
-            written, recent = table, []
+        gap = [(a - t) / total - PULL * m for a, t, m in zip(reached, targets, at, strict=True)]
+        residual = max(map(abs, gap))
+        if residual <= tolerance:
+            return Mix(at, targets, reached, residual, rounds)
+        scaled = [[x / total + (PULL if i == j else 0.0) for j, x in enumerate(row)] for i, row in enumerate(gram)]
+        newton = solve_small(scaled, gap)
+        tried = [[m + g / (1 + PULL) for m, g in zip(at, gap, strict=True)], *([m + d * s for m, s in zip(at, newton, strict=True)] for d in DAMPING)]
+        found = measured(tried)
+        best = min(range(len(tried)), key=lambda c: cost(found[c][0], tried[c]))
+        if cost(found[best][0], tried[best]) >= cost(half, at):
+            return Mix(at, targets, reached, residual, rounds)
+        at, (half, reached, gram), rounds = tried[best], found[best], rounds + 1
 
 
 def told(mix_: Mix, domains: list[str]) -> str:
     """What was asked and what was reached, for the log."""
     parts = [f"{d}: {a:.0f} of {t:.0f} tokens" for d, t, a in zip(domains, mix_.targets, mix_.reached, strict=True)]
-    return f"{', '.join(parts)}; {len(mix_.steps)} steps, residual {mix_.residual:.2g}"
+    return f"{', '.join(parts)}; {mix_.rounds} rounds, residual {mix_.residual:.2g}"
 
 
 def mix(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, domain: Column, weights: dict[str, float], budget: float = 1.0, max_rows: int = 8000) -> DataFrame:
@@ -271,7 +248,7 @@ def mix(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str,
     scored = materialise(posteriors(docs, key, text, model), "posteriors")
     found = fit_rates(scored, domains, weights, budget)
     log.info("mixing: %s", told(found, domains))
-    return scored.withColumn("rate", rate(found.steps))
+    return scored.withColumn("rate", rate(found.multipliers))
 
 
 def copies(key: Column, rate_: Column, seed: int = 11) -> Column:
