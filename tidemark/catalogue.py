@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,12 +13,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.inference import infer_types, sql_types
 from tidemark.operators import cdc, quality, reshape
 from tidemark.operators.asof import asof_join
-from tidemark.plans import apply, runner
+from tidemark.plans import apply, pipelines, runner
 from tidemark.plans.pipelines import MODELS, MONTHS
-from tidemark.sources import files, raw, spi  # noqa: F401
+from tidemark.sources import files, raw, spi
 from tidemark.sources.envelope import parse_envelope
 from tidemark.sources.lake import LakeTable
 from tidemark.storage import fresh_path, materialise
+from tidemark.streaming import bronze as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = datetime.date(2000, 6, 15)
@@ -466,6 +469,62 @@ def csv_scan(spark: SparkSession, d: str) -> DataFrame:
 CSV_SQL = """SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name || '; "x"' AS name, CASE WHEN n_nationkey % 2 = 0 THEN 'NA' END AS note, 1 + row_number() OVER (ORDER BY n_nationkey) AS row_number FROM nation"""
 
 
+def xlsx_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Regions as a workbook with a title above the header and a total below, read back by the connector."""
+    rows = table(spark, d, "region").orderBy("r_regionkey").select("r_regionkey", "r_name").collect()  # 5 rows
+    sheet = [["Regions"], [None], ["Key", "Name", "Sum"], *([r[0] + 0.0, f" {r[1]} ", 1] for r in rows), ["Total", None, 5]]
+    settings = pipelines.Settings.load({"TIDEMARK_ROOT": fresh_path(spark, "lake")})
+    with tempfile.TemporaryDirectory() as folder:  # the driver's own; the workbook is copied to the shared landing area
+        files.write_xlsx(f"{folder}/regions_2024.xlsx", {"Notes": [["x"]], "Data": sheet}, hidden=("Notes",))
+        pipelines.upload(spark, Path(folder) / "regions_2024.xlsx", "in", settings)
+    found = spi.create("excel", spark, {"location": f"{settings.landing}/in", "pattern": r"regions_(?P<year>\d+)", "header_row_contains": "Name", "stop_at_first_cell": "Total", "ignore_columns": ("Sum",)})
+    [batch] = found.incremental(None)
+    return batch.rows.select(F.col("key").cast("bigint").alias("r_regionkey"), F.col("name").alias("r_name"), F.col("_row_number").alias("row_number"), F.col("_file_year").alias("year"))
+
+
+XLSX_SQL = "SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name, 3 + row_number() OVER (ORDER BY r_regionkey) AS row_number, '2024' AS year FROM region"
+
+
+def mode_recommend(spark: SparkSession, d: str) -> DataFrame:
+    """The mode for sources of each ability over tables with a key and a moving column, with a key alone, and without either."""
+    moving, key = spi.Column("updated_at", "TIMESTAMP"), spi.Column("id", "BIGINT")
+    shapes = {"moving": spi.DatasetSchema((key, moving), ("id",)), "keyed": spi.DatasetSchema((key, spi.Column("created_at", "TIMESTAMP")), ("id",)), "bare": spi.DatasetSchema((key,))}
+    able = {"cdc": spi.Capabilities(cdc=True), "cursor": spi.Capabilities(cursor=True), "files": spi.Capabilities(files=True), "plain": spi.Capabilities()}
+    rows = [(a, n, (r := spi.recommend(c, x)).mode.value, r.cursor) for a, c in able.items() for n, x in shapes.items()]
+    return spark.createDataFrame(rows, "ability string, shape string, mode string, cursor string")
+
+
+MODES_SQL = """SELECT a.ability, s.shape, CASE WHEN ability = 'cdc' AND shape <> 'bare' THEN 'cdc' WHEN ability = 'files' OR ability = 'cursor' AND shape = 'moving' THEN 'incremental'
+  WHEN shape <> 'bare' THEN 'snapshot_diff' ELSE 'full' END AS mode, CASE WHEN ability = 'cursor' AND shape = 'moving' THEN 'updated_at' END AS cursor
+FROM (VALUES ('cdc'), ('cursor'), ('files'), ('plain')) a(ability) CROSS JOIN (VALUES ('moving'), ('keyed'), ('bare')) s(shape)"""
+
+
+def rest_window(spark: SparkSession, d: str) -> DataFrame:
+    """Payloads of two windows appended to a raw table and flattened, the later payload first; the answers are made here."""
+    lake = LakeTable(spark, fresh_path(spark, "raw"))
+    for n, as_of in ((1, datetime.date(2024, 2, 3)), (2, datetime.date(2024, 2, 4))):
+        body = '{"base":"USD","rates":{"2024-02-03":{"EUR":0.%d},"2024-02-0%d":{"GBP":0.7}}}' % (n, n)
+        raw.ingest_window(spark, lake, "http://x/{start}..{end}", as_of, datetime.datetime(2024, 2, n), 2, fetch=lambda url, params, b=body: (b, url))
+    flat = reshape.flatten_rates(lake.read().withColumn("from", F.element_at(F.split("request_url", "/"), -1)), "payload", "_ingested_at")
+    return reshape.newest_wins(flat, ["rate_date", "base_currency", "currency"], [F.desc("_ingested_at")]).select("rate_date", "currency", "rate")
+
+
+REST_SQL = "SELECT CAST(d AS DATE) AS rate_date, c AS currency, CAST(r AS DOUBLE) AS rate FROM (VALUES ('2024-02-03', 'EUR', 0.2), ('2024-02-01', 'GBP', 0.7), ('2024-02-02', 'GBP', 0.7)) t(d, c, r)"
+
+
+def stream_bronze(spark: SparkSession, d: str) -> DataFrame:
+    """Every message streamed into raw tables, and streamed again under another checkpoint, which must add nothing."""
+    landing, root = fresh_path(spark, "messages"), fresh_path(spark, "bronze")
+    messages(spark, d).selectExpr("topic", "partition", "offset", "key", "value").write.json(landing)
+    for _ in range(2):
+        stream = spark.readStream.schema(streams.MESSAGES).json(landing)
+        streams.start(stream, root, fresh_path(spark, "checkpoint"), lambda: F.expr(RUN_TS), once=True).awaitTermination()
+    return LakeTable(spark, f"{root}/shop/users_cdc").read().groupBy("kafka_partition").agg(F.count("*").alias("events"), F.max("kafka_offset").alias("max_offset"), F.max("ingest_date").alias("ingest_date"))
+
+
+STREAM_SQL = f"WITH {BRONZE_CTE} SELECT CAST(user_id % 3 AS INTEGER) AS kafka_partition, count(*) AS events, max(event_id) AS max_offset, DATE '2024-02-01' AS ingest_date FROM b GROUP BY 1"
+
+
 def sql_type_names(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(sorted(sql_types(table(spark, d, "orders").selectExpr("o_orderkey", "o_orderpriority", "CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice", "o_orderdate IS NULL AS b", "CAST(o_orderdate AS DATE) AS c").schema).items()), "name string, type string")
 
@@ -498,6 +557,10 @@ _PLAIN: dict[str, tuple[Query, str | None]] = {
     "cdc_replay_noop": (cdc_replay_noop, REPLAY_NOOP_SQL),
     "csv_scan": (csv_scan, CSV_SQL),
     "sql_types": (sql_type_names, SQL_TYPES_SQL),
+    "xlsx_scan": (xlsx_scan, XLSX_SQL),
+    "mode_recommend": (mode_recommend, MODES_SQL),
+    "rest_window": (rest_window, REST_SQL),
+    "stream_bronze": (stream_bronze, STREAM_SQL),
 }
 
 
