@@ -52,13 +52,17 @@ MIX_BUDGET = 1.25  # tokens to draw, as a multiple of those at hand
 
 def sharded(docs: DataFrame) -> DataFrame:
     """Documents with size, shard and slot: sorted by language, source and size along the curve, cut into runs of equal counts."""
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16
-    return hilbert.order_and_cut(docs.withColumn("size", size), "doc_id", DIMENSIONS, SHARDS)
+    return hilbert.order_and_cut(_sized(docs), "doc_id", DIMENSIONS, SHARDS)
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16)
 
 
 def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
-    return sharded(docs).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    cut = hilbert.order_and_cut(_sized(docs).drop("text"), "doc_id", DIMENSIONS, SHARDS)  # texts are measured, not moved
+    return cut.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def domain_label() -> Column:
