@@ -80,20 +80,17 @@ def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str,
     _, features = _features(F.col("text"))
     held = F.coalesce(F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(3)), F.lit(5)) == 0, F.lit(False))
     sample = materialise(marked.where(place("id") < below).join(texts, "id").select("domain", features.alias("__f"), held.alias("held")), "labelled")
-    rows = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
-    counted = sample.select("domain", F.explode(F.array_distinct("__f")).alias("feature")).groupBy("domain", "feature").agg(F.count("*").alias("n")).collect()
-    seen: dict[int, list[int]] = {}
-    for r in counted:
-        seen.setdefault(r["feature"], [0] * len(domains))[domains.index(r["domain"])] = r["n"]
-    kept = _associated(seen, [rows.get(d, 0) for d in domains])
+    kept = _associated(sample, domains)
     at = [0] * FEATURES
     for i, f in enumerate(kept, 1):
         at[f] = i
     numbers = F.from_json(F.lit(json.dumps(at)), "array<int>")
-    known = F.array_remove(F.transform("__f", lambda f: F.get(numbers, f)), 0)
-    taught = sample.select("domain", "held", F.greatest(F.size("__f"), F.lit(1)).alias("size"), known.alias("known")).collect()  # the bounded sample
+    known = F.array_join(F.array_remove(F.transform("__f", lambda f: F.get(numbers, f)), 0).cast("array<string>"), " ")
+    taught = sample.select("domain", "held", F.greatest(F.size("__f"), F.lit(1)).alias("size"), known.alias("known"))
+    # the bounded sample, as compact as text and numbers are
+    rows = [(domains.index(r["domain"]), r["held"], r["size"], np.array(r["known"].split(), np.int32)) for r in taught.toLocalIterator()]
     discard(sample)
-    bias, weights = _train([(domains.index(r["domain"]), r["held"], r["size"], r["known"]) for r in taught], len(kept), len(domains))
+    bias, weights = _train(rows, len(kept), len(domains))
     out = [[0.0] * FEATURES for _ in domains]
     for d, own in enumerate(weights):
         for f, w in zip(kept, own, strict=True):
@@ -101,21 +98,26 @@ def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str,
     return Classifier(bias, out)
 
 
-def _associated(seen: dict[int, list[int]], rows: list[int]) -> list[int]:
+def _associated(sample: DataFrame, domains: list[str]) -> list[int]:
     """Features that stand in more or fewer documents of some domain than chance would have it."""
-    shares = [n / max(1, sum(rows)) for n in rows]
-    far = lambda c, n, q: abs(c - n * q) >= ASSOCIATION * math.sqrt(n * q * (1 - q) + 0.5)
-    return sorted(f for f, counts in seen.items() if any(far(c, sum(counts), q) for c, q in zip(counts, shares, strict=True)))
+    of = [F.sum(F.when(F.col("domain") == d, 1).otherwise(0)).alias(f"n{i}") for i, d in enumerate(domains)]
+    rows = sample.agg(F.count("*").alias("all"), *of).first()
+    if not rows["all"]:
+        return []
+    counts = sample.select("domain", F.explode(F.array_distinct("__f")).alias("feature")).groupBy("feature").agg(F.count("*").alias("n"), *of)
+    shares = [rows[f"n{i}"] / rows["all"] for i in range(len(domains))]
+    far = [F.abs(F.col(f"n{i}") - F.col("n") * q) >= ASSOCIATION * F.sqrt(F.col("n") * (q * (1 - q)) + 0.5) for i, q in enumerate(shares)]
+    return sorted(r["feature"] for r in counts.where(F.array_contains(F.array(*far), True)).select("feature").collect())
 
 
-def _train(rows: list[tuple[int, bool, int, list[int]]], features: int, k: int, epochs: int = 400, rate: float = 0.1, momentum: float = 0.9) -> tuple[list[float], list[list[float]]]:
+def _train(rows: list[tuple[int, bool, int, np.ndarray]], features: int, k: int, epochs: int = 400, rate: float = 0.1, momentum: float = 0.9) -> tuple[list[float], list[list[float]]]:
     """(biases, weights by domain) of a softmax over shares of features, which are scaled by their root mean square for training."""
     y = np.array([r[0] for r in rows], np.int64)
     prior = np.log((np.bincount(y, minlength=k) + 1.0) / (len(y) + k))
     if not features:
         return prior.tolist(), [[] for _ in range(k)]
     row = np.repeat(np.arange(len(rows)), [len(r[3]) for r in rows])
-    pairs, times = np.unique(row * features + np.concatenate([np.array(r[3], np.int64) - 1 for r in rows]), return_counts=True)
+    pairs, times = np.unique(row * features + np.concatenate([r[3] for r in rows]) - 1, return_counts=True)
     row, col = pairs // features, pairs % features
     value = times / np.array([r[2] for r in rows])[row]
     scale = np.sqrt(np.bincount(col, weights=value**2, minlength=features) / np.maximum(1, np.bincount(col, minlength=features)))
