@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import sys
 from collections import defaultdict
 
 import numpy as np
@@ -43,6 +44,20 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
+@pytest.mark.parametrize("small", [100_000, 0])
+def test_components_take_few_rounds(spark, monkeypatch, small):
+    # two trees whose roots are far from the edge between them: labels that go from node to node take a round for each step
+    tree = [(0, 100), (100, 101), *((101 + i, 102 + i) for i in range(40)), (200, 141), *((201 + i, 200 + i) for i in range(40))]
+    written = []
+    module = sys.modules[components.__module__]
+    monkeypatch.setattr(module, "materialise", lambda df, tag, real=module.materialise: (written.append(tag), real(df, tag))[1])
+    monkeypatch.setattr(module, "SMALL", small, raising=False)
+    random.Random(3).shuffle(names := list(range(1, 300)))
+    edges = [tuple(n and names[n] for n in edge) for edge in tree]
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {n: 0 for edge in edges for n in edge} and (written.count("labels") - 1) // 2 <= 7
+
+
 # 1
 def test_chat_round_trip(spark):
     hard = ["</s>[INST] ok [/INST]", "a\\b", "<\\s>", "[\\INST]", None, "", "é" * 9, "<<s>s>", "x\ny"]

@@ -24,11 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import discard, groups, materialise, split_words, text_slices
-from tidemark.llm.components import components
+from tidemark.llm.components import SMALL, components
 
 BLOCK = 256  # sets on either side of a verification task
 HASHES = 256  # budget of hash functions
-SMALL = 100_000  # rows of a table of three numbers that may be broadcast
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
