@@ -50,12 +50,13 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or removes documents by their rates; the budget is above the input, so good documents stay once at least."""
     labels = queries.table(spark, sf_dir, "labels")
     domains = sorted(queries.MIX_WEIGHTS)
-    model = mixing.fit(docs, "doc_id", "text", labels, "doc_id", queries.domain_label(), domains)
-    scored = materialise(mixing.posteriors(docs, "doc_id", "text", model, keep=docs.columns), "posteriors")
+    rows = numbered(docs)
+    model = mixing.fit(rows, "doc_id", "text", labels, "doc_id", queries.domain_label(), domains)
+    scored = materialise(mixing.posteriors(rows, ROW, "text", model), "posteriors")
     found = mixing.fit_rates(scored, domains, queries.MIX_WEIGHTS, queries.MIX_BUDGET)
     log.info("mixing: %s", mixing.told(found, domains))
-    times = mixing.copies(F.col("doc_id"), mixing.rate(found.multipliers))
-    return scored.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
+    drawn = rows.join(scored.select(ROW, mixing.rate(found.multipliers).alias("__rate")), ROW)
+    return drawn.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), mixing.copies(F.col("doc_id"), F.col("__rate"))))).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -528,6 +528,24 @@ def test_rates_are_nonnegative_least_squares(spark, rows, weights):
     assert reached <= start and math.sqrt(reached) <= math.sqrt(told) + 1e-4 * total and found.residual <= 1e-5
 
 
+def test_posteriors_are_compiled_and_the_same_word_by_word(spark):
+    rng = random.Random(29)
+    texts = [None, "", " ... ", "The cat SAT on 3 mats.", "The cat SAT on 3 mats.", "\u00c9t\u00e9\tfoo-bar", *(prose(EN, rng.randint(1, 60), rng) for _ in range(20))]
+    rows = [(i if i % 5 else None, t, 1.0) for i, t in enumerate(texts)] + [(7, "cat", 1.0), (7, "cat", 1.0)]
+    docs = spark.createDataFrame(rows, "id long, t string, tokens double")
+    model = mixing.Classifier([0.3, -0.2], [[rng.gauss(0, 5) if f % 3 else 0.0 for f in range(mixing.FEATURES)] for _ in range(2)])
+    got = mixing.posteriors(docs, "id", "t", model)
+    assert "lambda" not in got._jdf.queryExecution().executedPlan().toString()
+    plain = docs.select("id", "t", mixing._features(F.col("t")))
+    want = []
+    for key, text, features in plain.collect():
+        logits = [b + sum(round(w[f], 6) for f in features) / max(1, len(features)) for b, w in zip(model.bias, model.weights, strict=True)]
+        odds = [math.exp(x) for x in logits]
+        want.append((key or -1, len(words_of(text)), [pytest.approx(x / sum(odds), abs=1e-9) for x in odds]))
+    mine = sorted(((r["id"] or -1, r["tokens"], r["p"]) for r in got.collect()), key=lambda r: (r[0], r[1], r[2][0]))
+    assert mine == sorted(want, key=lambda r: (r[0], r[1], r[2][0].expected)) and len(mine) == len(rows)
+
+
 def test_copies_keep_the_expected_count(spark):
     got = [r["n"] for r in spark.range(4000).select(mixing.copies(F.col("id"), F.lit(1.3)).alias("n")).collect()]
     assert set(got) == {1, 2} and math.isclose(sum(got) / 4000, 1.3, abs_tol=0.03)

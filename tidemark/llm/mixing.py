@@ -60,13 +60,25 @@ class Mix:
     rounds: int
 
 
-def _features(text: Column) -> tuple[Column, Column]:
-    """(words, feature numbers of stems and shapes) of a text."""
+def _items(text: Column) -> tuple[Column, Column]:
+    """(words, shapes) of a text."""
     signs = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"\p{Lu}+", "A"), r"[\p{Ll}\p{Lo}\p{M}]+", "a"), r"\p{N}+", "0")
-    shapes = F.transform(F.array_remove(F.split(signs, r"\s+"), ""), lambda w: (F.pmod(F.xxhash64(w), F.lit(SHAPES)) + STEMS).cast("int"))
     words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), "")
-    stems = F.transform(words, lambda w: F.pmod(F.xxhash64(F.substring(w, 1, STEM)), F.lit(STEMS)).cast("int"))
-    return F.size(words).cast("long"), F.concat(stems, shapes)
+    return words, F.array_remove(F.split(signs, r"\s+"), "")
+
+
+def _stem(word: Column) -> Column:
+    return F.pmod(F.xxhash64(F.substring(word, 1, STEM)), F.lit(STEMS)).cast("int")
+
+
+def _shape(item: Column) -> Column:
+    return (F.pmod(F.xxhash64(item), F.lit(SHAPES)) + STEMS).cast("int")
+
+
+def _features(text: Column) -> Column:
+    """Feature numbers of stems and shapes of a text."""
+    words, shapes = _items(text)
+    return F.concat(F.transform(words, _stem), F.transform(shapes, _shape))
 
 
 def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, domain: Column, domains: list[str], max_rows: int = 8000) -> Classifier:
@@ -77,9 +89,8 @@ def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str,
     place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(1 << 20))
     below = math.ceil(share * (1 << 20))
     texts = docs.where(place(key) < below).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    _, features = _features(F.col("text"))
     held = F.coalesce(F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(3)), F.lit(5)) == 0, F.lit(False))
-    sample = materialise(marked.where(place("id") < below).join(texts, "id").select("domain", features.alias("__f"), held.alias("held")), "labelled")
+    sample = materialise(marked.where(place("id") < below).join(texts, "id").select("domain", _features(F.col("text")).alias("__f"), held.alias("held")), "labelled")
     kept = _associated(sample, domains)
     at = [0] * FEATURES
     for i, f in enumerate(kept, 1):
@@ -144,34 +155,33 @@ def _train(rows: list[tuple[int, bool, int, np.ndarray]], features: int, k: int,
     return best[1].tolist(), (best[2] / scale[:, None]).T.tolist()
 
 
-def _summed(rows: DataFrame, model: Classifier) -> DataFrame:
-    """rows with __s0, __s1 and so on, the summed weights of the features __f by domain, and __n, their number."""
-    weights = [F.from_json(F.lit(json.dumps([round(x, 6) or 0 for x in w])), "array<double>") for w in model.weights]
-    sums = {f"__s{d}": _weigh(w) for d, w in enumerate(weights)}
-    return rows.withColumns(sums | {"__n": F.greatest(F.size("__f"), F.lit(1)).cast("double")}).drop("__f")
-
+def _summed(docs: DataFrame, key: str, text: str, model: Classifier) -> DataFrame:
+    """(__key, tokens, __s0, __s1 and so on, __n) for every row: the summed weights of its features by domain, and their number.
 
-def _weigh(weights: Column) -> Column:
-    """Sum of the weights of a document's features; the weights are one constant array."""
-    return F.aggregate("__f", F.lit(0.0), lambda acc, f: acc + F.get(weights, f))
+    Items become rows, which meet again under their document's number in the task that made them: compiled code, unlike lambdas over
+    arrays, and one row for each document is moved."""
+    words, shapes = _items(F.col(text))
+    rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(key).alias("__key"), words.alias("__words"), shapes.alias("__shapes"))
+    items = rows.select("__row", "__key", F.size("__words").cast("long").alias("tokens"), F.posexplode_outer(F.concat("__words", "__shapes")).alias("__at", "__item"))
+    item = F.col("__item")
+    feature = F.when(F.col("__at") < F.col("tokens"), _stem(item)).when(item.isNotNull(), _shape(item))
+    weights = [F.from_json(F.lit(json.dumps([round(x, 6) or 0 for x in w])), "array<double>") for w in model.weights]
+    sums = [F.coalesce(F.sum(F.get(w, F.col("__f"))), F.lit(0.0)).alias(f"__s{d}") for d, w in enumerate(weights)]
+    return items.withColumn("__f", feature).groupBy("__row", "__key", "tokens").agg(*sums, F.greatest(F.count("__f"), F.lit(1)).cast("double").alias("__n"))
 
 
 def _logits(model: Classifier) -> list[Column]:
     return [F.lit(b) + F.col(f"__s{d}") / F.col("__n") for d, b in enumerate(model.bias)]
 
 
-def posteriors(docs: DataFrame, key: str, text: str, model: Classifier, keep: list[str] | None = None) -> DataFrame:
-    """(key or the columns in keep, tokens, p array<double>) for every document."""
-    kept = keep or [key]
-    words, features = _features(F.col(text))
-    scored = _summed(docs.select(F.struct(*kept).alias("__kept"), words.alias("tokens"), features.alias("__f")), model)
+def posteriors(docs: DataFrame, key: str, text: str, model: Classifier) -> DataFrame:
+    """(key, tokens, p array<double>) for every document."""
     names = [f"__l{d}" for d in range(len(model.bias))]
-    scored = scored.select("__kept", "tokens", *(x.alias(n) for n, x in zip(names, _logits(model), strict=True)))
+    scored = _summed(docs, key, text, model).select("__key", "tokens", *(x.alias(n) for n, x in zip(names, _logits(model), strict=True)))
     top = F.greatest(*names) if len(names) > 1 else F.col(names[0])
-    odds = scored.select("__kept", "tokens", *(F.exp(F.col(n) - top).alias(n) for n in names))
+    odds = scored.select("__key", "tokens", *(F.exp(F.col(n) - top).alias(n) for n in names))
     total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
-    shares = odds.withColumn("p", F.array(*(F.col(n) / total for n in names)))
-    return shares.select(*(F.col("__kept")[c].alias(c) for c in kept if c.lower() not in ("tokens", "p")), "tokens", "p")
+    return odds.select(F.col("__key").alias(key), "tokens", F.array(*(F.col(n) / total for n in names)).alias("p"))
 
 
 def solve_small(matrix: list[list[float]], right: list[float]) -> list[float]:
