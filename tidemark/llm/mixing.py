@@ -170,18 +170,33 @@ def _summed(docs: DataFrame, key: str, text: str, model: Classifier) -> DataFram
     return items.withColumn("__f", feature).groupBy("__row", "__key", "tokens").agg(*sums, F.greatest(F.count("__f"), F.lit(1)).cast("double").alias("__n"))
 
 
+def _summed_in_place(docs: DataFrame, kept: list[str], text: str, model: Classifier) -> DataFrame:
+    """The same sums without a shuffle, with a struct of the columns kept as __key: for columns too wide to group by or to move."""
+    weights = [F.from_json(F.lit(json.dumps([round(x, 6) or 0 for x in w])), "array<double>") for w in model.weights]
+    sums = {f"__s{d}": _weigh(w) for d, w in enumerate(weights)}
+    rows = docs.select(F.struct(*kept).alias("__key"), F.size(_items(F.col(text))[0]).cast("long").alias("tokens"), _features(F.col(text)).alias("__f"))
+    return rows.withColumns(sums | {"__n": F.greatest(F.size("__f"), F.lit(1)).cast("double")}).drop("__f")
+
+
+def _weigh(weights: Column) -> Column:
+    return F.aggregate("__f", F.lit(0.0), lambda acc, f: acc + F.get(weights, f))
+
+
 def _logits(model: Classifier) -> list[Column]:
     return [F.lit(b) + F.col(f"__s{d}") / F.col("__n") for d, b in enumerate(model.bias)]
 
 
-def posteriors(docs: DataFrame, key: str, text: str, model: Classifier) -> DataFrame:
-    """(key, tokens, p array<double>) for every document."""
+def posteriors(docs: DataFrame, key: str, text: str, model: Classifier, keep: list[str] | None = None) -> DataFrame:
+    """(key or the columns in keep, tokens, p array<double>) for every document."""
     names = [f"__l{d}" for d in range(len(model.bias))]
-    scored = _summed(docs, key, text, model).select("__key", "tokens", *(x.alias(n) for n, x in zip(names, _logits(model), strict=True)))
+    summed = _summed_in_place(docs, keep, text, model) if keep else _summed(docs, key, text, model)
+    scored = summed.select("__key", "tokens", *(x.alias(n) for n, x in zip(names, _logits(model), strict=True)))
     top = F.greatest(*names) if len(names) > 1 else F.col(names[0])
     odds = scored.select("__key", "tokens", *(F.exp(F.col(n) - top).alias(n) for n in names))
     total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
-    return odds.select(F.col("__key").alias(key), "tokens", F.array(*(F.col(n) / total for n in names)).alias("p"))
+    shares = odds.withColumn("p", F.array(*(F.col(n) / total for n in names)))
+    own = [F.col("__key")[c].alias(c) for c in keep if c.lower() not in ("tokens", "p")] if keep else [F.col("__key").alias(key)]
+    return shares.select(*own, "tokens", "p")
 
 
 def solve_small(matrix: list[list[float]], right: list[float]) -> list[float]:
