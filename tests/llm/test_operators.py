@@ -6,13 +6,17 @@ import itertools
 import math
 import random
 import re
+import subprocess
 import sys
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tidemark.llm import ann, chat, decontam, hilbert, langid, linededup, minhash, mixing, toxicity, warc
 from tidemark.llm.common import groups, split_words
@@ -624,3 +628,51 @@ def test_queries_match_their_sql(spark, tmp_path):
         got = queries.queries()[name](spark, str(tmp_path))
         assert sorted(columns) == sorted(got.columns), name
         assert sorted(map(repr, found.fetchall())) == sorted(repr(tuple(r[c] for c in columns)) for r in got.collect()), name
+
+
+WORKER = """
+import pickle, sys
+import pyarrow as pa
+from pathlib import Path
+
+def own_mb():
+    return sum(int(x.split()[1]) for x in Path("/proc/self/smaps_rollup").read_text().splitlines() if x.startswith("Pss_Anon")) // 1024
+
+run = pickle.loads(Path(sys.argv[1]).read_bytes())
+table = pa.ipc.open_file(pa.memory_map(sys.argv[2]))
+list(run(iter([table.get_batch(0).slice(0, 10)])))
+before = own_mb()
+for _ in run(iter([table.get_batch(0)])):
+    pass
+print(own_mb() - before)
+"""
+
+
+def test_workers_keep_no_memory_of_a_task(spark, monkeypatch, tmp_path):
+    """What Spark's workers run over batches of texts, each in a process of its own: afterwards it is about as large as before."""
+    if not Path("/proc/self/smaps_rollup").exists():
+        pytest.skip("memory can't be read here")
+    ran, plain = [], DataFrame.mapInArrow
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda self, f, *a, **b: (ran.append(f), plain(self, f, *a, **b))[1])
+    few = spark.createDataFrame([(i, prose(EN if i % 2 else DE, 30), "en" if i % 2 else "de") for i in range(20)], "id long, text string, lang string")
+    langid.identify(few, langid.train(few, "text", "lang", "id"))
+    minhash.jaccard_classes(few, "id", "text")
+    decontam.leaks(few, "id", "text", few.limit(3), "id", "text")
+    words = [f"{w}{i}" for i in range(3000) for w in EN[:4]]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(8000)), "text": [" ".join(RNG.choices(words, k=400)) for _ in range(8000)], "lang": ["en"] * 8000})
+    with pa.ipc.new_file(str(tmp_path / "batch"), batch.schema) as out:
+        out.write_batch(batch)
+    for over_texts in (*ran[:3], *ran[-2:]):  # counts, scores, signatures, seeds, alignments
+        (tmp_path / "run").write_bytes(cloudpickle.dumps(over_texts))
+        grown = subprocess.run([sys.executable, "-c", WORKER, str(tmp_path / "run"), str(tmp_path / "batch")], capture_output=True, text=True, check=True).stdout
+        assert int(grown) < 20
+
+
+def test_empty_tables_start_no_worker(spark):
+    few = spark.createDataFrame([(1, "a b c")], "id long, text string")
+    found = decontam.leaks(few, "id", "text", few.where("id < 0"), "id", "text")
+    nodes = spark.range(1).selectExpr("cast('a' as binary) node", "cast('a' as binary) label", "cast('a' as binary) least", "array(id) bands")
+    meets = minhash._blocks(nodes.select("node", "label"), nodes.select("node", "least"), nodes)[1]
+    for table, types in ((found, ["bigint", "bigint", "double", "bigint", "bigint"]), (meets, ["binary", "int", "int"])):
+        assert [t for _, t in table.dtypes] == types and not table.collect()
+        assert "ExistingRDD" not in table._jdf.queryExecution().toString()

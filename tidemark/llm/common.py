@@ -2,15 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.storage import discard, fresh_path, materialise, shared_dir  # noqa: F401
 
-SLICE_BYTES = 8 << 20  # text that one vectorised step holds at once
+SLICE_BYTES = 4 << 20  # text that one vectorised step holds at once; its words and hashes take about 40 times as much
+
+
+def release() -> None:
+    """Give freed memory back to the system: Arrow's pool and the C library both keep it, as long as the process lives."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # not the GNU C library
+        pass
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow(run, schema), after which the worker, which Spark keeps for other tasks, holds nothing of this one."""
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(released, schema)
+
+
+def empty_table(spark: SparkSession, columns: str) -> DataFrame:
+    """No rows of these columns; unlike createDataFrame([]) it starts no Python worker."""
+    return spark.range(0).select(F.lit(None).cast(f"struct<{columns}>").alias("row")).select("row.*")
+
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each slice holds about limit bytes of the column, one row at least."""
@@ -48,7 +78,10 @@ def split_words(text: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     totals = np.concatenate(([0], np.cumsum(width)))
     ends = np.cumsum(per_row)
     counts = totals[ends] - totals[ends - per_row]
-    return words.dictionary.to_pylist(), flat, counts
+    out = words.dictionary.to_pylist(), flat, counts
+    del lists, coded, tokens, cleaned, parts, words, of_part
+    pa.default_memory_pool().release_unused()  # else what the split took stays beside what the caller makes of the words
+    return out
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

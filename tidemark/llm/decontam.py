@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, split_words, text_slices
+from tidemark.llm.common import empty_table, map_batches, materialise, split_words, text_slices
 
 BLOCK = 20_000  # items whose n-grams a task holds at once
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -270,12 +270,12 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str,
     tests = items.select(F.col(item_key).alias("item"), F.col(item_text).alias("text")).where("item is not null and text is not null")
     kinds = f"id {rows.schema['id'].dataType.simpleString()}, item {tests.schema['item'].dataType.simpleString()}"
     schema = f"{kinds}, similarity double, first_word long, n_words long"
-    found = docs.sparkSession.createDataFrame([], schema)
+    found = empty_table(docs.sparkSession, schema)
     for some in _blocks(tests, block):
         for ready in prepare(some, n, similarity, min_words):
-            counted = rows.mapInArrow(_counter(ready), "code long, docs long").groupBy("code").agg(F.sum("docs").alias("docs"))
+            counted = map_batches(rows, _counter(ready), "code long, docs long").groupBy("code").agg(F.sum("docs").alias("docs"))
             choose_seeds(ready, {r["code"]: r["docs"] for r in counted.collect()})  # a row for each n-gram of the block
-            found = found.unionByName(materialise(rows.mapInArrow(_aligner(ready), schema), "leaks"))  # the block can go
+            found = found.unionByName(materialise(map_batches(rows, _aligner(ready), schema), "leaks"))  # the block can go
     return found
 
 

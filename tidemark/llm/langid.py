@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import split_words, text_slices
+from tidemark.llm.common import map_batches, split_words, text_slices
 
 ORDERS = (4, 3, 2, 1)
 UND = "und"
@@ -87,7 +87,7 @@ def train(rows: DataFrame, text: str, lang: str, key: str, max_rows: int = 12_00
     share = min(1.0, max_rows / max(1, size["n"]), max_bytes / max(1, size["bytes"] or 0))
     if share < 1:
         known = known.where(F.pmod("h", F.lit(1 << 20)) < math.ceil((1 << 20) * share))
-    counted = known.select("text", "lang").mapInArrow(_count, "lang string, n int, token long, hits long").groupBy("lang", "n", "token").agg(F.sum("hits").alias("hits")).toArrow()
+    counted = map_batches(known.select("text", "lang"), _count, "lang string, n int, token long, hits long").groupBy("lang", "n", "token").agg(F.sum("hits").alias("hits")).toArrow()
     languages = sorted(set(pc.unique(counted["lang"]).to_pylist()))
     of_lang = pc.index_in(counted["lang"], pa.array(languages, pa.string())).to_numpy()
     order, token, hits = (counted[c].to_numpy() for c in ("n", "token", "hits"))
@@ -149,7 +149,7 @@ def identify(rows: DataFrame, model: LanguageModel, text: str = "text", keep: li
     kept = [c for c in (rows.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score")]
     base = rows.select(*dict.fromkeys([*kept, text]))
     schema = T.StructType([*(base.schema[c] for c in kept), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return base.mapInArrow(_scorer(model, text, kept), schema)
+    return map_batches(base, _scorer(model, text, kept), schema)
 
 
 def held_out(key: Column) -> Column:

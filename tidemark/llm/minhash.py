@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, groups, materialise, split_words, text_slices
+from tidemark.llm.common import discard, empty_table, groups, map_batches, materialise, split_words, text_slices
 from tidemark.llm.components import SMALL, components
 
 BLOCK = 256  # sets on either side of a verification task
@@ -200,7 +200,8 @@ def jaccard_classes(docs: DataFrame, key: str, text: str, n: int = 5, threshold:
     of other rows whose sets have a Jaccard similarity of the threshold or more with its own."""
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     bands, per_band = banding(threshold, recall)
-    signed = materialise(rows.where("id is not null and text is not null").mapInArrow(_signer(n, bands, per_band), f"id {rows.schema['id'].dataType.simpleString()}, node binary, size int, bands array<bigint>"), "signed")
+    known = rows.where("id is not null and text is not null")
+    signed = materialise(map_batches(known, _signer(n, bands, per_band), f"id {rows.schema['id'].dataType.simpleString()}, node binary, size int, bands array<bigint>"), "signed")
     # one row for each node from here on, however many copies it has
     nodes = materialise(signed.groupBy("node").agg(F.min("id").alias("first_id"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "nodes")
 
@@ -216,13 +217,14 @@ def jaccard_classes(docs: DataFrame, key: str, text: str, n: int = 5, threshold:
     # every node meets the blocks that share a band with its own
     found = members.join(nodes.select("node", "copies", "first_id"), "node")
     texts = found.join(rows, found["first_id"] == rows["id"]).select("node", "comp", "copies", "own", "text")
-    sets = texts.mapInArrow(_setter(n), "node binary, comp binary, copies bigint, own int, grams binary").dropDuplicates(["node"])
+    sets = map_batches(texts, _setter(n), "node binary, comp binary, copies bigint, own int, grams binary").dropDuplicates(["node"])
     meets = materialise(meets, "meets")
     pairs = meets.select("comp", F.col("a").alias("own"), F.col("b").alias("met")).union(meets.where("a <> b").select("comp", "b", "a"))
     few = meets.count() <= SMALL
     met = sets.join(F.broadcast(pairs) if few else pairs, ["comp", "own"], "left").withColumn("met", F.coalesce("met", "own"))
     dealt = met.select("comp", F.least("own", "met").alias("lo"), F.greatest("own", "met").alias("hi"), "own", "node", "copies", "grams")
-    verified = materialise(dealt.repartition("comp", "lo", "hi").sortWithinPartitions("comp", "lo", "hi").mapInArrow(_verifier(threshold), "node binary, other binary, links bigint"), "links")
+    together = dealt.repartition("comp", "lo", "hi").sortWithinPartitions("comp", "lo", "hi")
+    verified = materialise(map_batches(together, _verifier(threshold), "node binary, other binary, links bigint"), "links")
     discard(hung)
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     # the vertices of the components are (smallest id, node), so that a component's label carries its class id
@@ -244,7 +246,7 @@ def _blocks(candidates: DataFrame, least: DataFrame, nodes: DataFrame) -> tuple[
     big = materialise(candidates.groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("label", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "large")
     n_big = big.count()
     if not n_big:
-        return candidates.select("node", F.col("label").alias("comp"), F.lit(0).alias("own")), nodes.sparkSession.createDataFrame([], "comp binary, a int, b int")
+        return candidates.select("node", F.col("label").alias("comp"), F.lit(0).alias("own")), empty_table(nodes.sparkSession, "comp binary, a int, b int")
     few = F.broadcast(big) if n_big <= SMALL else big
     tagged = candidates.join(few, "label", "left")
     small = tagged.where("blocks is null").select("node", F.col("label").alias("comp"), F.lit(0).alias("own"))
